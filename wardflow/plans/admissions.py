@@ -121,7 +121,7 @@ def q_facility_list(parsed: DataFrame) -> DataFrame:
 
 def q_facility_messages(parsed: DataFrame, facility: str) -> DataFrame:
     """The messages of one facility, without the time of parsing."""
-    return optional_facility_filter(parsed, facility).drop("parsed_at")
+    return parsed.where(F.col("facility") == F.lit(facility)).drop("parsed_at")
 
 
 def dq_hl7_completeness(parsed: DataFrame) -> DataFrame:
