@@ -79,7 +79,10 @@ def fhir_bundle_scan(spark: SparkSession, path: str, one_per_line: bool = False)
 
 
 def landing_files(spark: SparkSession, path: str) -> DataFrame:
-    """Path, length and time of the files below ``path``; their content is not read."""
+    """Path, length and time of the files below ``path``; their content is not read.
+
+    Files without content, which no scan would return a row for, are not listed.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
