@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from checks import inputs, tables  # noqa: E402
+from checks import tables  # noqa: E402
 from checks.queries import QUERIES  # noqa: E402
 from wardflow.operators import ccda, fhir, hl7  # noqa: E402
 from wardflow.session import local_session  # noqa: E402
@@ -33,33 +33,20 @@ OVER_TABLES = [
 ]
 
 
-def raw_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Folders with the messages, Bundles and documents of all rows."""
-    landed = {"messages": tables.landed_messages(spark, sf_dir)}
-    for name, build in (("bundles", inputs.fhir_bundles), ("documents", inputs.ccda_documents)):
-        landed[name] = tables.new_path(spark, sf_dir, name)
-        build(spark, sf_dir).select("value").write.text(landed[name])
-    return landed
-
-
 def from_files(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
-    path = raw_files(spark, sf_dir)
+    messages_path = tables.landed_messages(spark, sf_dir)
+    bundles_path = tables.landed_bundles(spark, sf_dir)
 
     def messages() -> DataFrame:
-        return files.hl7_file_scan(spark, path["messages"], framed=True)
+        return files.hl7_file_scan(spark, messages_path, framed=True)
 
     def entries(kind: str) -> DataFrame:
-        bundles = files.fhir_bundle_scan(spark, path["bundles"], one_per_line=True)
+        bundles = files.fhir_bundle_scan(spark, bundles_path, one_per_line=True)
         return fhir.fhir_entries(bundles, kinds=[kind])
 
     def conditions() -> DataFrame:
         return fhir.fhir_to_condition_occurrence(entries("Condition"))
 
-    def documents() -> DataFrame:
-        return files.xml_scan(
-            spark, path["documents"], ccda.ROW_TAG, ccda.DOCUMENT_SCHEMA, one_per_line=True
-        )
-
     return {
         "hl7_parse_adt": lambda: hl7.hl7_parse_adt(messages()),
         "hl7_segments": lambda: hl7.hl7_segments(messages()),
@@ -68,7 +55,8 @@ def from_files(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataF
         "fhir_to_procedure_occurrence": lambda: fhir.fhir_to_procedure_occurrence(
             entries("Procedure")),
         "condition_features": lambda: fhir.condition_features(conditions()),
-        "ccda_medications": lambda: ccda.ccda_medications(documents()),
+        "ccda_medications": lambda: ccda.ccda_medications(
+            tables.scanned_documents(spark, sf_dir)),
     }
 
 

@@ -134,20 +134,14 @@ def _document_summary(documents: DataFrame) -> list[Column]:
 
 @query
 def xml_scan(spark, sf_dir):
-    path = tables.new_path(spark, sf_dir, "documents")
-    inputs.ccda_documents(spark, sf_dir).select("value").write.text(path)
-    scanned = files.xml_scan(
-        spark, path, ccda.ROW_TAG, ccda.DOCUMENT_SCHEMA, one_per_line=True
-    )
+    scanned = tables.scanned_documents(spark, sf_dir)
     return scanned.select(_document_summary(scanned))
 
 
 @query
 def fhir_bundle_scan(spark, sf_dir):
-    path = tables.new_path(spark, sf_dir, "bundles")
-    inputs.fhir_bundles(spark, sf_dir).write.text(path)
-    bundles = files.fhir_bundle_scan(spark, f"{path}/*", one_per_line=True)
-    return bundles.select(
+    landed = f"{tables.landed_bundles(spark, sf_dir)}/*"
+    return files.fhir_bundle_scan(spark, landed, one_per_line=True).select(
         F.get_json_object("value", "$.entry[0].resource.id").alias("first_id"),
         F.json_array_length(F.get_json_object("value", "$.entry")).alias("entries"),
     )

@@ -73,6 +73,35 @@ def landed_messages(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "messages", land)
 
 
+def landed_bundles(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with all Bundles, one per line."""
+
+    def land() -> str:
+        path = new_path(spark, sf_dir, "bundles")
+        inputs.fhir_bundles(spark, sf_dir).write.text(path)
+        return path
+
+    return _once(spark, sf_dir, "bundles", land)
+
+
+def landed_documents(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with all documents, one per line."""
+
+    def land() -> str:
+        path = new_path(spark, sf_dir, "documents")
+        inputs.ccda_documents(spark, sf_dir).select("value").write.text(path)
+        return path
+
+    return _once(spark, sf_dir, "documents", land)
+
+
+def scanned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.xml_scan(
+        spark, landed_documents(spark, sf_dir), ccda.ROW_TAG, ccda.DOCUMENT_SCHEMA,
+        one_per_line=True,
+    )
+
+
 def parsed_hl7(spark: SparkSession, sf_dir: str) -> DataFrame:
     def load() -> str:
         name = f"{database(spark, sf_dir, 'hl7')}.parsed_hl7"
@@ -88,7 +117,8 @@ def parsed_hl7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def omop(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     def load() -> str:
         name = database(spark, sf_dir, "fhir")
-        fhir.load_omop(inputs.fhir_bundles(spark, sf_dir), name)
+        landed = f"{landed_bundles(spark, sf_dir)}/*"
+        fhir.load_omop(files.fhir_bundle_scan(spark, landed, one_per_line=True), name)
         return name
 
     name = _once(spark, sf_dir, "omop", load)
@@ -108,9 +138,7 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     def load() -> str:
         name = f"{database(spark, sf_dir, 'ccda')}.ccda_claims_raw"
-        tables.table_overwrite_sink(
-            ccda.ccda_documents(inputs.ccda_documents(spark, sf_dir)), name
-        )
+        tables.table_overwrite_sink(scanned_documents(spark, sf_dir), name)
         return name
 
     return spark.table(_once(spark, sf_dir, "ccda_claims_raw", load))

@@ -52,20 +52,29 @@ def _normalised(text: Column) -> Column:
 
 
 def _restored(value: Column) -> Column:
-    return F.translate(value, _PIPE_ASIDE, "|")
+    aside = value.contains(_PIPE_ASIDE)
+    return F.when(aside, F.translate(value, _PIPE_ASIDE, "|")).otherwise(value)
 
 
-def _first_segment(message: Column, segment: str) -> Column:
-    """Text of the first segment of a type, '' if there is none."""
-    return F.regexp_extract(
-        message, rf"(?:^|[\r\n])({segment}(?:\|[^\r\n]*)?)(?=[\r\n]|\z)", 1
-    )
+def _lines(message: Column) -> Column:
+    """Segment texts. Both line ends count; a CR LF pair leaves an empty text between."""
+    return F.split(F.replace(message, F.lit("\n"), F.lit("\r")), "\r")
+
+
+def _types(lines: Column) -> Column:
+    return F.transform(lines, lambda line: F.substring_index(line, "|", 1))
+
+
+def _first_segment(lines: Column, types: Column, segment: str) -> Column:
+    """Text of the first segment of a type, '' if there is none, NULL for no message."""
+    place = (F.array_position(types, segment) - 1).cast("int")
+    return F.when(lines.isNotNull(), F.coalesce(F.get(lines, place), F.lit("")))
 
 
 def _piece(segment_text: Column, segment: str, field: int) -> Column:
     """Field of a segment text, '' if the segment is too short."""
     position = field if segment == "MSH" else field + 1
-    return _restored(F.split_part(segment_text, F.lit("|"), F.lit(position)))
+    return F.split_part(segment_text, F.lit("|"), F.lit(position))
 
 
 def hl7_field(text: Column, segment: str, field: int) -> Column:
@@ -73,11 +82,11 @@ def hl7_field(text: Column, segment: str, field: int) -> Column:
 
     Composites are kept whole.
     """
-    message = _normalised(text)
     if segment == "MSH" and field == 1:
         separator = F.when(_trimmed(text).startswith("MSH"), _separator(_trimmed(text)))
         return F.when(text.isNotNull(), F.coalesce(separator, F.lit("")))
-    return _piece(_first_segment(message, segment), segment, field)
+    lines = _lines(_normalised(text))
+    return _restored(_piece(_first_segment(lines, _types(lines), segment), segment, field))
 
 
 def hl7_parse_adt(
@@ -95,37 +104,57 @@ def hl7_parse_adt(
     extra = dict(extra or {})
     segments = list(dict.fromkeys(["MSH", "EVN", "PID", "DG1"] + [s for s, _ in extra.values()]))
 
+    # One step per select: the text is cut into lines once, and each line is named once.
     message = df.select(*keep, _normalised(F.col(col)).alias("_message"))
-    parts = message.select(
+    lines = message.select(
         *keep,
         F.when(F.col("_message").isNull(), NO_TEXT)
         .when(~F.col("_message").startswith("MSH"), NOT_MSH)
         .when(~F.col("_message").rlike(r"^MSH(?:\|[^|\r\n]*){8}"), SHORT_MSH)
         .alias("_cause"),
-        *[_first_segment(F.col("_message"), s).alias(f"_{s}") for s in segments],
+        _lines(F.col("_message")).alias("_lines"),
+    )
+    named = lines.select(*keep, "_cause", "_lines", _types(F.col("_lines")).alias("_types"))
+    parts = named.select(
+        *keep,
+        "_cause",
+        *[_first_segment(F.col("_lines"), F.col("_types"), s).alias(f"_{s}") for s in segments],
     )
 
-    def field(segment: str, number: int) -> Column:
-        return _piece(F.col(f"_{segment}"), segment, number)
+    places = {
+        "patient_id": ("PID", 3),
+        "event_location": ("EVN", 7),
+        "admit_diagnosis": ("DG1", 3),
+        "message_type": ("MSH", 9),
+        "facility": ("MSH", 3),
+        **{f"extra_{name}": place for name, place in extra.items()},
+    }
+    fields = parts.select(
+        *keep,
+        "_cause",
+        *[
+            _piece(F.col(f"_{segment}"), segment, number).alias(f"_field_{name}")
+            for name, (segment, number) in places.items()
+        ],
+    )
 
-    def if_parsed(value: Column, otherwise: Column | None = None) -> Column:
-        return F.when(F.col("_cause").isNull(), value).otherwise(
-            F.lit("") if otherwise is None else otherwise
-        )
+    def field(name: str, failed: Column | None = None) -> Column:
+        parsed = F.when(F.col("_cause").isNull(), _restored(F.col(f"_field_{name}")))
+        return parsed.otherwise(F.lit("") if failed is None else failed)
 
-    facility = field("MSH", 3)
-    location = field("EVN", 7)
     failure = F.concat(
         F.lit(v.PARSE_ERROR_PREFIX), F.substring(F.col("_cause"), 1, v.PARSE_CAUSE_LENGTH)
     )
-    return parts.select(
+    located = F.col("_field_event_location") != ""
+    return fields.select(
         *keep,
-        if_parsed(field("PID", 3)).alias("patient_id"),
-        if_parsed(F.when(location == "", facility).otherwise(location)).alias("admit_location"),
-        if_parsed(field("DG1", 3)).alias("admit_diagnosis"),
-        if_parsed(field("MSH", 9)).alias("message_type"),
-        if_parsed(facility, failure).alias("facility"),
-        *[if_parsed(field(*place)).alias(name) for name, place in extra.items()],
+        field("patient_id").alias("patient_id"),
+        F.when(located, field("event_location")).otherwise(field("facility"))
+        .alias("admit_location"),
+        field("admit_diagnosis").alias("admit_diagnosis"),
+        field("message_type").alias("message_type"),
+        field("facility", failure).alias("facility"),
+        *[field(f"extra_{name}").alias(name) for name in extra],
         F.col("_cause").isNotNull().alias("is_parse_error"),
     )
 
