@@ -219,7 +219,7 @@ def ccda_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     number = key.cast("string")
     customers = table(spark, sf_dir, "customer").join(
-        F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey")
+        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     city = F.when(key % 41 != 0, _element("city", xml_text(F.col("n_name"))))
     second = F.when(key % 6 == 0, "<given>X</given>").otherwise("")

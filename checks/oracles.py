@@ -286,13 +286,11 @@ for name in ("condition_occurrence", "procedure_occurrence", "visit_occurrence")
     ORACLES[f"fhir_to_{name}"] = fhir(f"SELECT * FROM {name}")
 ORACLES["condition_features"] = fhir("SELECT * FROM features")
 ORACLES["landing_file_inventory"] = """
-SELECT 'files' AS what, 16 AS rows
-UNION ALL SELECT 'listed', 10
-UNION ALL SELECT 'bytes', CAST(sum(
+SELECT CAST(sum(
   length('{"resourceType":"Bundle","type":"collection","entry":[{"resource":')
   + length('{"resourceType":"Patient","id":"p","gender":"","birthDate":"1940-01-01"}}]}')
   + length(CAST(c_custkey AS VARCHAR)) + CASE WHEN c_custkey % 2 = 0 THEN 4 ELSE 6 END + 1
-) AS BIGINT) FROM customer"""
+) AS BIGINT) AS bytes, TRUE AS has_files, TRUE AS listing_complete FROM customer"""
 
 ORACLES["q_kpi_omop_patients"] = "SELECT count(*) AS omop_patients FROM customer"
 ORACLES["q_omop_row_counts"] = fhir(" UNION ALL ".join(

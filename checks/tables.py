@@ -19,7 +19,6 @@ from wardflow.session import scratch_folder
 from wardflow.sources import files, jdbc, tables
 
 MESSAGE_FIELDS = {"message_time": ("MSH", 7), "message_id": ("MSH", 10)}
-MESSAGES_PER_FILE = 5000
 NEWEST = ["message_time", "message_id"]
 
 # Fixed value: driver class of the database that runs inside the driver process.
@@ -65,9 +64,7 @@ def landed_messages(spark: SparkSession, sf_dir: str) -> str:
 
     def land() -> str:
         path = new_path(spark, sf_dir, "messages")
-        files.write_framed_messages(
-            inputs.adt_messages(spark, sf_dir), path, messages_per_file=MESSAGES_PER_FILE
-        )
+        files.write_framed_messages(inputs.adt_messages(spark, sf_dir), path)
         return path
 
     return _once(spark, sf_dir, "messages", land)

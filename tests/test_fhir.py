@@ -74,7 +74,7 @@ def test_conditions(spark):
         condition("first", [{"system": SNOMED, "code": "1"}, {"system": SNOMED, "code": "2"}]),
         condition("snomed", [{"system": "other", "code": "X"}, {"system": SNOMED, "code": "3"}],
                   subject="urn:uuid:p2", onsetDateTime="2020-03-04T10:00:00-05:00"),
-        condition("other", [{"system": "other", "code": "Y"}], subject="https://h/fhir/Patient/p3",
+        condition("other", [{"system": "other", "code": "Y"}], subject="https://h:80/fhir/Patient/p3/_history/2",
                   recordedDate="2020-05-06", encounter={"reference": "Encounter/e1"}),
         condition("empty", []),
         condition("none", None, subject=None),

@@ -78,5 +78,5 @@ def test_staged_resources_are_pruned_by_kind_and_column(spark):
     tables.omop(spark, SMALL)
     staged = spark.table(f"{tables.database(spark, SMALL, 'fhir')}.fhir_resources")
     text = plan(fhir.fhir_to_condition_occurrence(staged))
-    assert "PartitionFilters: [isnotnull(resourceType" in text
+    assert "EqualTo(resourceType,Condition)" in text
     assert "birthDate" not in text and "performedDateTime" not in text

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from wardflow.functions import vocabulary as v
-from wardflow.sources.tables import create_database_of, table_overwrite_sink
+from wardflow.sources.tables import table_overwrite_sink
 
 # --- Fixed values: names and places in the FHIR standard. ---
 SNOMED_SYSTEM = "http://snomed.info/sct"
@@ -32,8 +32,7 @@ def _struct(**fields) -> StructType:
 
 
 _TEXT = StringType()
-_CODING = _struct(system=_TEXT, code=_TEXT, display=_TEXT)
-_CONCEPT = _struct(coding=ArrayType(_CODING), text=_TEXT)
+_CONCEPT = _struct(coding=ArrayType(_struct(system=_TEXT, code=_TEXT)))
 _REFERENCE = _struct(reference=_TEXT)
 _PERIOD = _struct(start=_TEXT, end=_TEXT)
 
@@ -83,9 +82,10 @@ def _of_kind(entries: DataFrame, kind: str) -> DataFrame:
 
 
 def _referenced_id(reference: Column) -> Column:
-    """``Patient/x``, ``urn:uuid:x`` or a full address to ``x``; NULL if there is none."""
-    found = F.regexp_extract(reference, r"([^:/]+)$", 1)
-    return F.when(found != "", found)
+    """``Patient/x``, ``urn:uuid:x``, a full address or one with a version, to ``x``."""
+    unversioned = F.substring_index(reference, "/_history/", 1)
+    tail = F.substring_index(F.substring_index(unversioned, "/", -1), ":", -1)
+    return F.nullif(tail, F.lit(""))
 
 
 def _source_code(concept: Column) -> Column:
@@ -170,13 +170,15 @@ TRANSFORMS = {
 def load_omop(bundles: DataFrame, database: str, col: str = "value") -> dict[str, DataFrame]:
     """Write the four tables to ``database`` and return them.
 
-    The JSON is parsed once, into ``fhir_resources`` partitioned by resource kind; each table is
-    then built from its own partition and columns.
+    The JSON is parsed once, into ``fhir_resources``. Each task sorts its rows by resource kind
+    and writes one file, without a shuffle; each table then reads its own columns and, by the
+    page statistics, the pages of its kind.
     """
     spark = bundles.sparkSession
     staged = f"{database}.fhir_resources"
-    create_database_of(spark, staged)
-    table_overwrite_sink(fhir_entries(bundles, col), staged, partition_by=["resourceType"])
+    table_overwrite_sink(
+        fhir_entries(bundles, col).sortWithinPartitions("resourceType"), staged
+    )
     loaded = {}
     for table, transform in TRANSFORMS.items():
         table_overwrite_sink(transform(spark.table(staged)), f"{database}.{table}")

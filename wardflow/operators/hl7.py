@@ -66,15 +66,15 @@ def _types(lines: Column) -> Column:
 
 
 def _first_segment(lines: Column, types: Column, segment: str) -> Column:
-    """Text of the first segment of a type, '' if there is none, NULL for no message."""
+    """Pieces of the first segment of a type, NULL if there is none."""
     place = (F.array_position(types, segment) - 1).cast("int")
-    return F.when(lines.isNotNull(), F.coalesce(F.get(lines, place), F.lit("")))
+    return F.split(F.get(lines, place), r"\|")
 
 
-def _piece(segment_text: Column, segment: str, field: int) -> Column:
-    """Field of a segment text, '' if the segment is too short."""
-    position = field if segment == "MSH" else field + 1
-    return F.split_part(segment_text, F.lit("|"), F.lit(position))
+def _field(pieces: Column, segment: str, number: int) -> Column:
+    """Field of a segment, '' if the segment is missing or too short."""
+    place = number - 1 if segment == "MSH" else number
+    return F.coalesce(F.get(pieces, F.lit(place)), F.lit(""))
 
 
 def hl7_field(text: Column, segment: str, field: int) -> Column:
@@ -86,7 +86,8 @@ def hl7_field(text: Column, segment: str, field: int) -> Column:
         separator = F.when(_trimmed(text).startswith("MSH"), _separator(_trimmed(text)))
         return F.when(text.isNotNull(), F.coalesce(separator, F.lit("")))
     lines = _lines(_normalised(text))
-    return _restored(_piece(_first_segment(lines, _types(lines), segment), segment, field))
+    value = _field(_first_segment(lines, _types(lines), segment), segment, field)
+    return F.when(text.isNotNull(), _restored(value))
 
 
 def hl7_parse_adt(
@@ -133,7 +134,7 @@ def hl7_parse_adt(
         *keep,
         "_cause",
         *[
-            _piece(F.col(f"_{segment}"), segment, number).alias(f"_field_{name}")
+            _field(F.col(f"_{segment}"), segment, number).alias(f"_field_{name}")
             for name, (segment, number) in places.items()
         ],
     )

@@ -13,15 +13,10 @@ def create_database_of(spark: SparkSession, table: str) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{parts[-2]}`")
 
 
-def table_overwrite_sink(
-    df: DataFrame, table: str, partition_by: list[str] | None = None
-) -> None:
+def table_overwrite_sink(df: DataFrame, table: str) -> None:
     """Replace a managed table in full. ``df`` must not read the table itself."""
     create_database_of(df.sparkSession, table)
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    df.write.mode("overwrite").format("parquet").saveAsTable(table)
 
 
 def ctas_replace(spark: SparkSession, table: str, query: str | DataFrame) -> DataFrame:
