@@ -146,8 +146,9 @@ def test_ctas_replaces_rows_and_columns(spark, database):
 
 def test_sink_creates_the_database(spark):
     name = f"made_{uuid.uuid4().hex[:8]}"
-    tables.create_database_of(spark, f"{name}.t")
-    assert spark.catalog.databaseExists(name)
+    for table in (f"{name}.t", f"`{name}`.`t`", f"spark_catalog.{name}.t", "t"):
+        tables.create_database_of(spark, table)
+        assert spark.catalog.databaseExists(name)
     spark.sql(f"DROP DATABASE {name}")
 
 

@@ -50,7 +50,8 @@ def ccda_documents(df: DataFrame, col: str = "value", keep: Sequence[str] = ())
     """Documents held as text in a column, one row per document.
 
     Text that is no XML keeps its row: the elements are NULL and the text is in
-    ``_corrupt_record``. Files are read by ``xml_scan`` with the same schema.
+    ``_corrupt_record``. To have elements outside the schema at hand later, keep the text column
+    too. Files are read by ``xml_scan`` with the same schema.
     """
     document = F.from_xml(
         F.col(col), DOCUMENT_SCHEMA, {"rowTag": ROW_TAG, "columnNameOfCorruptRecord": CORRUPT}

@@ -80,7 +80,8 @@ def _field(pieces: Column, segment: str, number: int) -> Column:
 def hl7_field(text: Column, segment: str, field: int) -> Column:
     """Field of the first segment of a type: '' if missing, NULL for NULL text.
 
-    Composites are kept whole.
+    Composites are kept whole. For many fields of a message use ``hl7_parse_adt`` with ``extra``,
+    which cuts the text once for all of them.
     """
     if segment == "MSH" and field == 1:
         separator = F.when(_trimmed(text).startswith("MSH"), _separator(_trimmed(text)))

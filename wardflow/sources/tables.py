@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 
 def create_database_of(spark: SparkSession, table: str) -> None:
-    """Create the database that a two-part table name speaks of."""
-    parts = table.replace("`", "").split(".")
-    if len(parts) > 1:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{parts[-2]}`")
+    """Create the database in a qualified table name, if it is not there."""
+    *database, _ = table.replace("`", "").split(".")
+    if database:
+        name = ".".join(f"`{part}`" for part in database)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
 def table_overwrite_sink(df: DataFrame, table: str) -> None:
