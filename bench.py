@@ -56,7 +56,7 @@ def from_files(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataF
             entries("Procedure")),
         "condition_features": lambda: fhir.condition_features(conditions()),
         "ccda_medications": lambda: ccda.ccda_medications(
-            tables.scanned_documents(spark, sf_dir)),
+            tables.scanned_documents(spark, sf_dir, ccda.MEDICATION_SCHEMA)),
     }
 
 

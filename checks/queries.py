@@ -272,7 +272,8 @@ def ccda_sections(spark, sf_dir):
 
 @query
 def ccda_medications(spark, sf_dir):
-    return ccda.ccda_medications(ccda.ccda_documents(inputs.ccda_documents(spark, sf_dir)))
+    texts = inputs.ccda_documents(spark, sf_dir)
+    return ccda.ccda_medications(ccda.ccda_documents(texts, schema=ccda.MEDICATION_SCHEMA))
 
 
 # --- FHIR jobs ---

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from checks import inputs
 from wardflow.operators import ccda, fhir
@@ -92,10 +93,11 @@ def landed_documents(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "documents", land)
 
 
-def scanned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scanned_documents(
+    spark: SparkSession, sf_dir: str, schema: StructType = ccda.DOCUMENT_SCHEMA
+) -> DataFrame:
     return files.xml_scan(
-        spark, landed_documents(spark, sf_dir), ccda.ROW_TAG, ccda.DOCUMENT_SCHEMA,
-        one_per_line=True,
+        spark, landed_documents(spark, sf_dir), ccda.ROW_TAG, schema, one_per_line=True
     )
 
 

@@ -34,7 +34,11 @@ def parsed(spark, *texts):
 
 
 def medications(spark, *texts):
-    return sorted(map(tuple, ccda.ccda_medications(parsed(spark, *texts)).collect()), key=repr)
+    found = ccda.ccda_medications(parsed(spark, *texts)).collect()
+    frame = spark.createDataFrame([(t,) for t in texts], "value string")
+    narrow = ccda.ccda_documents(frame, schema=ccda.MEDICATION_SCHEMA)
+    assert sorted(ccda.ccda_medications(narrow).collect(), key=repr) == sorted(found, key=repr)
+    return sorted(map(tuple, found), key=repr)
 
 
 def test_one_component_one_entry(spark):
@@ -65,7 +69,9 @@ def test_no_medications(spark):
 
 
 def test_malformed_text_keeps_its_row(spark):
-    rows = parsed(spark, "<ClinicalDocument><id", "plain", document()).collect()
+    bad = ["<ClinicalDocument><id", "plain"]
+    assert medications(spark, *bad, None) == []
+    rows = parsed(spark, *bad, document()).collect()
     assert [r[ccda.CORRUPT] is not None for r in rows] == [True, True, False]
     assert rows[0].recordTarget is None
 

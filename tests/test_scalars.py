@@ -138,6 +138,10 @@ URLS = [
      "jdbc:sqlserver://h;databaseName=d;user=***;password=***;x=1"),
     ("jdbc:oracle:thin:bob/pw@//h:1521/s", "jdbc:oracle:thin:***@//h:1521/s"),
     ("jdbc:x://h;UID=token;PWD=abc;AccessToken=zzz", "jdbc:x://h;UID=***;PWD=***;AccessToken=***"),
+    ("jdbc:mysql://bob:p/w@h/db", "jdbc:mysql://***@h/db"),
+    ("jdbc:postgresql://h:5432/db?mail=a@b", "jdbc:postgresql://h:5432/db?mail=a@b"),
+    ("jdbc:x://h?ssl.trustPassword=a&user=b&passage=c", "jdbc:x://h?ssl.trustPassword=***&user=***&passage=c"),
+    ("jdbc:derby:memory:x;create=true", "jdbc:derby:memory:x;create=true"),
     (None, None),
 ]
 

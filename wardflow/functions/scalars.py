@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wardflow.functions import vocabulary as v
 
 
+def _first_match(branches: Iterable[tuple[Column, str]], otherwise: Column | str) -> Column:
+    """CASE: the value of the first condition that holds."""
+    cases = F
+    for condition, value in branches:
+        cases = cases.when(condition, value)
+    return cases.otherwise(otherwise)
+
+
 def _described(code: Column, system: str, key: Column | None = None) -> Column:
     """Label of a code; without one the code itself, behind the system's prefix if it has one."""
     key = code if key is None else key
     prefix = v.UNKNOWN_PREFIX[system]
-    label = None
-    for known, text in v.TERMINOLOGY[system].items():
-        label = F.when(key == known, text) if label is None else label.when(key == known, text)
-    return label.otherwise(code if prefix is None else F.concat(F.lit(prefix), code))
+    labels = ((key == known, text) for known, text in v.TERMINOLOGY[system].items())
+    return _first_match(labels, code if prefix is None else F.concat(F.lit(prefix), code))
 
 
 def snomed_description(code: Column) -> Column:
@@ -50,17 +58,14 @@ def age_from_dob(birth_date: Column, as_of: Column | None = None, exact: bool =
 
 
 def chronic_risk_tier(condition_count: Column) -> Column:
-    tier = F
-    for lower, label in v.RISK_TIERS:
-        tier = tier.when(condition_count >= lower, label)
-    return tier.otherwise(v.RISK_NONE)
+    tiers = ((condition_count >= lower, label) for lower, label in v.RISK_TIERS)
+    return _first_match(tiers, v.RISK_NONE)
 
 
 def days_overdue_bucket(days_since_encounter: Column) -> Column:
-    bucket = F.when(days_since_encounter.isNull(), v.OVERDUE_UNKNOWN)
-    for upper, label in v.OVERDUE_LIMITS:
-        bucket = bucket.when(days_since_encounter <= upper, label)
-    return bucket.otherwise(v.OVERDUE_BEYOND)
+    unknown = [(days_since_encounter.isNull(), v.OVERDUE_UNKNOWN)]
+    limits = [(days_since_encounter <= upper, label) for upper, label in v.OVERDUE_LIMITS]
+    return _first_match(unknown + limits, v.OVERDUE_BEYOND)
 
 
 def is_valid_snomed(code: Column) -> Column:
@@ -104,14 +109,17 @@ def validate_codes(code: Column) -> Column:
 
 
 def mask_jdbc_url(url: Column) -> Column:
-    """Connection URL without credentials, shortened for the audit."""
-    secret_names = "user|username|uid|password|passwd|pwd|token|accesstoken|secret"
-    hidden = F.regexp_replace(url, r"//[^/?;]*@", "//***@")
+    """Connection URL without credentials, shortened for the audit.
+
+    Where it is not clear what ends a password, more is hidden rather than less.
+    """
+    hidden = F.regexp_replace(url, r"//[^?;]*@", "//***@")
+    # Thin drivers put user/password before the host.
+    hidden = F.regexp_replace(hidden, r"(?i)(:(?:thin|oci8?)):[^:/@]+/[^@]*@", "$1:***@")
+    secret = r"(?:user|username|uid|pass)|[\w.]*(?:password|passwd|pwd|secret|token|api_?key)"
     hidden = F.regexp_replace(
-        hidden, rf"(?i)(?<![a-z])({secret_names})=(?:\{{[^}}]*\}}|[^;&?]*)", "$1=***"
+        hidden, rf"(?i)(?<![\w.])({secret})=(?:\{{[^}}]*\}}|[^;&?]*)", "$1=***"
     )
-    # Some drivers put user/password between the subprotocol and the host.
-    hidden = F.regexp_replace(hidden, r":[^:/@]+/[^@]*@", ":***@")
     limit = v.AUDIT_URL_LENGTH
     return F.when(
         F.length(hidden) > limit, F.concat(F.substring(hidden, 1, limit), F.lit("..."))

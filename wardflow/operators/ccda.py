@@ -23,30 +23,53 @@ def _struct(**fields) -> StructType:
 _TEXT = StringType()
 _ID = _struct(_root=_TEXT, _extension=_TEXT)
 _CODE = _struct(_code=_TEXT, _codeSystem=_TEXT, _displayName=_TEXT)
-_MATERIAL = _struct(manufacturedMaterial=_struct(code=_CODE))
-_ENTRY = _struct(
-    substanceAdministration=_struct(consumable=_struct(manufacturedProduct=_MATERIAL))
-)
-_SECTION = _struct(title=_TEXT, code=_CODE, entry=ArrayType(_ENTRY))
-_PATIENT = _struct(
-    name=_struct(given=ArrayType(_TEXT), family=_TEXT),
-    administrativeGenderCode=_CODE,
-    birthTime=_struct(_value=_TEXT),
-)
-_ADDRESS = _struct(city=_TEXT, state=_TEXT, postalCode=_TEXT, country=_TEXT)
+_NAME = _struct(given=ArrayType(_TEXT), family=_TEXT)
+
+
+def _entries(code: StructType) -> ArrayType:
+    product = _struct(manufacturedMaterial=_struct(code=code))
+    consumable = _struct(manufacturedProduct=product)
+    return ArrayType(_struct(substanceAdministration=_struct(consumable=consumable)))
+
+
+def _body(section: StructType) -> StructType:
+    return _struct(structuredBody=_struct(component=ArrayType(_struct(section=section))))
+
 
 # Elements that may repeat are arrays, whether or not a given document repeats them.
 DOCUMENT_SCHEMA = _struct(
     id=_ID,
     title=_TEXT,
     effectiveTime=_struct(_value=_TEXT),
-    recordTarget=_struct(patientRole=_struct(id=_ID, addr=_ADDRESS, patient=_PATIENT)),
-    component=_struct(structuredBody=_struct(component=ArrayType(_struct(section=_SECTION)))),
+    recordTarget=_struct(
+        patientRole=_struct(
+            id=_ID,
+            addr=_struct(city=_TEXT, state=_TEXT, postalCode=_TEXT, country=_TEXT),
+            patient=_struct(
+                name=_NAME, administrativeGenderCode=_CODE, birthTime=_struct(_value=_TEXT)
+            ),
+        )
+    ),
+    component=_body(_struct(title=_TEXT, code=_CODE, entry=_entries(_CODE))),
     _corrupt_record=_TEXT,
 )
 
+# What the medication rows need. The parser's work grows with the schema: to go from text or
+# files straight to medications this one takes about a quarter less time.
+MEDICATION_SCHEMA = _struct(
+    recordTarget=_struct(
+        patientRole=_struct(addr=_struct(city=_TEXT), patient=_struct(name=_NAME))
+    ),
+    component=_body(_struct(title=_TEXT, entry=_entries(_struct(_displayName=_TEXT)))),
+)
+
 
-def ccda_documents(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+def ccda_documents(
+    df: DataFrame,
+    col: str = "value",
+    keep: Sequence[str] = (),
+    schema: StructType = DOCUMENT_SCHEMA,
+) -> DataFrame:
     """Documents held as text in a column, one row per document.
 
     Text that is no XML keeps its row: the elements are NULL and the text is in
@@ -54,7 +77,7 @@ def ccda_documents(df: DataFrame, col: str = "value", keep: Sequence[str] = ())
     too. Files are read by ``xml_scan`` with the same schema.
     """
     document = F.from_xml(
-        F.col(col), DOCUMENT_SCHEMA, {"rowTag": ROW_TAG, "columnNameOfCorruptRecord": CORRUPT}
+        F.col(col), schema, {"rowTag": ROW_TAG, "columnNameOfCorruptRecord": CORRUPT}
     )
     return df.select(*keep, document.alias("_document")).select(*keep, "_document.*")
 
