@@ -68,4 +68,66 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
-ORACLES = {"op9_source_mixture": OP9, "op10_url_filter": OP10}
+OP4 = r'''
+WITH cut AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 33, 1))) AS i FROM cut WHERE len(w) >= 35),
+windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM starts),
+twice AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM windows WHERE h IN (SELECT h FROM twice)),
+lost AS (SELECT doc_id, count(*) AS n, list(p) AS ps FROM gone GROUP BY doc_id)
+SELECT c.doc_id, len(c.w)::BIGINT AS n_words, coalesce(l.n, 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN l.n IS NULL THEN c.w ELSE
+         list_transform(list_filter(range(1, len(c.w) + 1), lambda p: NOT list_contains(l.ps, p)),
+                        lambda p: c.w[p]) END, ' ')) AS kept_sha256
+FROM cut c LEFT JOIN lost l USING (doc_id)
+'''
+
+OP5 = r'''
+WITH RECURSIVE cut AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s
+  FROM cut),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+met AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM shingles x JOIN shingles y ON x.s = y.s
+  AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM met JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * shared >= 85 * (p.n + q.n - shared)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT DISTINCT a AS node, a AS seen FROM edges
+  UNION SELECT r.node, e.b FROM reach r JOIN edges e ON e.a = r.seen),
+least AS (SELECT node, min(seen) AS c FROM reach GROUP BY node)
+SELECT c.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(l.c, c.doc_id) AS component_id,
+       coalesce(l.c, c.doc_id) = c.doc_id AS kept
+FROM cut c LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node = c.doc_id
+'''
+
+OP7 = r'''
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+usable AS (
+  SELECT *, sqrt(list_dot_product(v, v)) AS norm FROM vectors
+  WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+edges AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y
+  ON x.label = y.label AND len(x.v) = len(y.v) AND x.vec_id <> y.vec_id
+  WHERE list_dot_product(x.v, y.v) / (x.norm * y.norm) >= 0.93),
+reach AS (
+  SELECT DISTINCT a AS node, a AS seen FROM edges
+  UNION SELECT r.node, e.b FROM reach r JOIN edges e ON e.a = r.seen),
+least AS (SELECT node, min(seen) AS c FROM reach GROUP BY node),
+degrees AS (SELECT a, count(*) AS n FROM edges GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(c, vec_id) AS component_id,
+       coalesce(c, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN degrees ON a = vec_id LEFT JOIN least ON node = vec_id
+'''
+
+ORACLES = {"op7_embedding_near_dedup": OP7, "op4_substring_dedup": OP4, "op5_minhash_near_dedup": OP5, "op9_source_mixture": OP9, "op10_url_filter": OP10}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm import decontaminate, mixture, urls
+from wardflow.llm import decontaminate, mixture, neardup, substrings, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,18 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents")).drop("key")
+
+
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixed_sizes(_table(spark, sf_dir, "documents"))
 
@@ -26,4 +38,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_benchmark_decontamination, op9_source_mixture, op10_url_filter)}
+    op3_benchmark_decontamination, op4_substring_dedup, op5_minhash_near_dedup,
+    op7_embedding_near_dedup, op9_source_mixture, op10_url_filter)}
