@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, mixture, neardup, substrings, urls, vectors
+from wardflow.llm import (
+    decontaminate, language, mixture, neardup, quality, substrings, urls, vectors)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(of: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % of
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"),
+                                  _table(spark, sf_dir, "labels"), _fold(5) == 0)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(_table(spark, sf_dir, "documents"), _fold(4) == 2)
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key")
@@ -38,5 +53,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_benchmark_decontamination, op4_substring_dedup, op5_minhash_near_dedup,
+    op1_quality_classifier, op2_language_id, op3_benchmark_decontamination, op4_substring_dedup, op5_minhash_near_dedup,
     op7_embedding_near_dedup, op9_source_mixture, op10_url_filter)}

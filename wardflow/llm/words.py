@@ -49,8 +49,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _word_hashes(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Start of each word and its hash; ``data`` ends with a space."""
+def word_hashes(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of each word; ``data`` ends with a space."""
     word = ~_space[data]
     turns = np.flatnonzero(word[1:] != word[:-1]) + 1
     if len(data) and word[0]:
@@ -59,7 +59,7 @@ def _word_hashes(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]
     up, down = BYTE_POWERS.upto(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_lowered if lower else _bytes)[data] * up[:len(data)], out=sums[1:])
-    return starts, mixed((sums[ends] - sums[starts]) * down[starts]
+    return starts, ends, mixed((sums[ends] - sums[starts]) * down[starts]
                          + (ends - starts).astype(np.uint64))
 
 
@@ -85,10 +85,10 @@ def hashed(texts: Sequence[bytes | None], lower: bool = False
 
     def run(first: int, few: list[bytes]) -> tuple[int, np.ndarray, np.ndarray]:
         if len(few) == 1 and len(few[0]) > 2 * PIECE:
-            parts = [_word_hashes(np.frombuffer(p + b"\n", np.uint8), lower)[1]
+            parts = [word_hashes(np.frombuffer(p + b"\n", np.uint8), lower)[2]
                      for p in _pieces(few[0])]
             return first, np.array([sum(map(len, parts))]), np.concatenate(parts)
-        starts, hashes = _word_hashes(np.frombuffer(b"\n".join(few) + b"\n", np.uint8), lower)
+        starts, _, hashes = word_hashes(np.frombuffer(b"\n".join(few) + b"\n", np.uint8), lower)
         ends = np.cumsum([len(x) + 1 for x in few])
         return first, np.diff(np.searchsorted(starts, ends), prepend=0), hashes
 
