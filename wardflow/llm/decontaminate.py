@@ -139,9 +139,3 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
             .select("doc_id", "key", "item_id", "n_items", "n_windows", "n_found",
                     F.size("pairs").alias("n_slots"),
                     F.forall("pairs", lambda x: x["item"] == x["doc"]).alias("same_values")))
-
-
-def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item; a NULL id is kept unless it alone is hit."""
-    ids = contaminated(documents, benchmark).select(F.col("doc_id").alias("_hit")).distinct()
-    return documents.join(ids, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")

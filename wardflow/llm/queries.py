@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm import (
-    decontaminate, language, mixture, neardup, quality, substrings, urls, vectors)
+    decontaminate, language, mixture, neardup, quality, secrets, substrings, tokencounts, urls,
+    vectors)
+from wardflow.llm.staging import staged
+from wardflow.session import scratch_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,10 +44,41 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents")).drop("key")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents inserted, a tenth revised, a tenth deleted, and the first batch sent twice."""
+    documents = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "source", "lang", F.coalesce(_fold(10) == 1, F.lit(False)).alias("revised"),
+        F.coalesce(_fold(10) == 0, F.lit(False)).alias("deleted"))
+    counts = staged(tokencounts.counted(documents), "counts")
+    image = tokencounts.image
+
+    def changes(before: Callable, after: Callable, rows: DataFrame) -> DataFrame:
+        parts = [rows.select(before(name), after(name)) for name in ("bpe", "words")]
+        return parts[0].union(parts[1])
+
+    def present(name: str) -> Column:
+        return image(name, F.col(name)).alias("after")
+
+    inserts = changes(lambda n: F.when(F.lit(False), image(n, F.col(n))).alias("before"), present, counts)
+    revisions = changes(lambda n: image(n, F.col(n)).alias("before"),
+                        lambda n: image(n, F.col(f"{n}_after")).alias("after"), counts.filter("revised"))
+    deletes = changes(lambda n: image(n, F.col(n)).alias("before"),
+                      lambda n: F.when(F.lit(False), image(n, F.col(n))).alias("after"),
+                      counts.filter("deleted"))
+    store = tokencounts.new_store(spark, f"{scratch_folder(spark)}/token-counts")
+    for batch, rows in (("load", inserts), ("revise", revisions), ("delete", deletes), ("load", inserts)):
+        tokencounts.commit_batch(spark, store, batch, rows)
+    return tokencounts.totals(spark, store)
+
+
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(_table(spark, sf_dir, "documents"))
+
+
 def op9_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixed_sizes(_table(spark, sf_dir, "documents"))
 
@@ -54,4 +90,4 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_language_id, op3_benchmark_decontamination, op4_substring_dedup, op5_minhash_near_dedup,
-    op7_embedding_near_dedup, op9_source_mixture, op10_url_filter)}
+    op6_token_counts, op7_embedding_near_dedup, op8_secret_scan, op9_source_mixture, op10_url_filter)}
