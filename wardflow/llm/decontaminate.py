@@ -23,7 +23,8 @@ from wardflow.llm.staging import SPACE, keyed, let, staged
 WINDOW, COVERAGE, LITERALS = 5, 0.8, 2
 #: A benchmark of at most so many windows is broadcast (12 MB of hashes); a larger one is shuffled.
 BROADCAST_WINDOWS = 500_000
-NUMBER, NAME, UNIT = "⟨num⟩", "⟨name⟩", "⟨unit⟩"
+#: Placeholders begin with a private-use character, which no pattern here touches.
+NUMBER, NAME, UNIT = "\ue000num", "\ue000name", "\ue000unit"
 #: Units of measure that may follow a number.
 UNITS = ("mm", "cm", "m", "km", "in", "inch", "inches", "ft", "feet", "yd", "mile", "miles", "mg",
          "g", "kg", "t", "oz", "lb", "lbs", "ml", "l", "s", "sec", "seconds", "min", "minutes", "h",

@@ -124,7 +124,9 @@ class Automaton:
                 settled.append(state)
             fringe = [(s, k) for s in settled for k in sorted(self.moves[s])
                       if self.moves[s][k] not in settled]
-        self.states = settled
+        number = {state: i for i, state in enumerate(settled)}
+        self.counts = [self.counts[s] for s in settled]
+        self.moves = [{c: number[to] for c, to in self.moves[s].items()} for s in settled]
 
     def log_likelihood(self, text: str) -> float:
         """Of the classes and of each character within its class; unseen steps cost a smoothed share."""
@@ -154,9 +156,19 @@ class Formats:
     """An automaton per kind of credential and one of ordinary tokens."""
 
     def __init__(self, secret: dict[int, list[str]], ordinary: list[str]) -> None:
-        self.ordinary = Automaton([x.translate(_TABLE) for x in ordinary or ["d"]])
         self.secret = [Automaton([x.translate(_TABLE) for x in some])
                        for _, some in sorted(secret.items()) if some]
+        # Ordinary tokens hold unknown credentials too: each half leaves out what the other half's
+        # automaton finds likelier to be one.
+        left = []
+        for half in (0, 1):
+            self.ordinary = self._ordinary(ordinary[half::2])
+            left += [x for x in ordinary[1 - half::2] if self.likelier(x) <= LIKELIER]
+        self.ordinary = self._ordinary(left)
+
+    @staticmethod
+    def _ordinary(tokens: list[str]) -> Automaton:
+        return Automaton([x.translate(_TABLE) for x in tokens or ["d"]])
 
     def likelier(self, token: str) -> float:
         """Nats per character by which the likeliest format is likelier than an ordinary one."""

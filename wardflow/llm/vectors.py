@@ -317,4 +317,4 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD,
     component = F.when(F.col("component").isNull(), F.col("vec_id")).otherwise(F.col("least"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"),
-                      F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
+                      component.eqNullSafe(F.col("vec_id")).alias("kept"))
