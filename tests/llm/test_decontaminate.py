@@ -1,0 +1,117 @@
+import random
+
+import regex
+
+from tests.llm import edge
+from wardflow.llm import decontaminate as d
+
+ITEMS = [
+    (1, "Alice bought 12 apples and 7 pears for 12 dollars, so how many fruits does she carry home in all?"),
+    (2, "A train needs 3 hours for 240 km between the two old towns; what is its mean speed on the way?"),
+    (3, "Then the tired farmer told Bruno that 5 of his 9 hens lay no eggs during the cold winter months."),
+    (4, "too short item"),
+    (5, "A train needs 4 hours for 360 km between the two old towns; what is its mean speed on the way?"),
+    (6, None), (7, "")]
+FILL = ("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut "
+        "labore et dolore magna aliqua").split()
+
+
+def pieces(text):
+    """Template and raw tokens, by rules of single words."""
+    raw = regex.findall(r"[^\x20\x09-\x0D]+", text or "")
+    out, whole = [], text or ""
+    spans = [m.span() for m in regex.finditer(r"[^\x20\x09-\x0D]+", whole)]
+    for i, (start, _) in enumerate(spans):
+        word = raw[i]
+        before = whole[start - 2] if start >= 2 and not whole[start - 2].isspace() else ""
+        named = regex.match(r"\p{Lu}\p{Ll}+(?=\p{P}|$)", word)
+        if named and start >= 2 and regex.match(r"[\p{Ll}\p{Nd},]", before):
+            word = d.NAME + word[named.end():]
+        if regex.fullmatch(r"[(\"'+\-$€£]*\p{Nd}[\p{Nd}.,:/]*%?[)\"'.,;:!?]*", word):
+            word = d.NUMBER
+        if out and out[-1] == d.NUMBER and whole[start - 1] == " ":
+            unit = regex.match(r"(?i)(" + "|".join(d.UNITS) + r")(?=[.,;:!?)]*$)", word)
+            word = d.UNIT + word[unit.end():] if unit else word
+        word = regex.sub(r"(?<=.)[\p{P}--%]+$", "", word, flags=regex.V1 | regex.S)
+        out.append(word.lower())
+    return out, raw
+
+
+def windows(parts):
+    return [tuple(parts[i:i + d.WINDOW]) for i in range(len(parts) - d.WINDOW + 1)]
+
+
+def brute(docs, items):
+    classes = {}
+    for item, text in items:
+        parts, raw = pieces(text)
+        slots = [r for p, r in zip(parts, raw) if p in (d.NUMBER, d.NAME, d.UNIT)]
+        classes.setdefault((tuple(parts), tuple(slots.index(s) for s in slots)), []).append((item, parts, raw))
+    found = []
+    for members in classes.values():
+        item, parts, raw = min(members)
+        wanted = {w for w in windows(parts) if sum(p not in (d.NUMBER, d.NAME, d.UNIT) for p in w) >= d.LITERALS}
+        for doc, text in docs:
+            own, own_raw = pieces(text)
+            met = wanted & set(windows(own))
+            if not wanted or len(met) < d.COVERAGE * len(wanted):
+                continue
+            shifts = {}
+            for i, w in enumerate(windows(parts)):
+                for j, v in enumerate(windows(own)):
+                    if w == v and w in wanted:
+                        shifts[j - i] = shifts.get(j - i, 0) + 1
+            shift = max(shifts, key=lambda s: (shifts[s], -s))
+            pairs = [(raw[i], own_raw[i + shift]) for i in range(len(parts)) if 0 <= i + shift < len(own)
+                     and parts[i] == own[i + shift] and parts[i] in (d.NUMBER, d.NAME, d.UNIT)]
+            if len(set(pairs)) == len({a for a, _ in pairs}) == len({b for _, b in pairs}):
+                found.append((doc, item, len(members), len(wanted), len(met), len(pairs),
+                              all(a == b for a, b in pairs)))
+    return sorted(found, key=repr)
+
+
+def found(spark, docs, items):
+    got = d.contaminated(spark.createDataFrame(docs, "doc_id long, text string, item_id int, key string, n int"),
+                         spark.createDataFrame(items, "item_id long, text string"))
+    return sorted((tuple(r) for r in got.drop("key").collect()), key=repr)
+
+
+def test_templates_with_other_values(spark):
+    rng, docs = random.Random(1), []
+
+    def put(text, before=9, after=9):
+        words = [rng.choice(FILL) for _ in range(before)] + text.split(" ") + [rng.choice(FILL) for _ in range(after)]
+        docs.append((len(docs), " ".join(words), 1, "k", 2))
+
+    put(ITEMS[0][1])
+    put(ITEMS[0][1].replace("12", "31").replace("7", "8"))          # other values, consistently
+    put(ITEMS[0][1].replace("12 apples", "31 apples"))               # equal slots now differ
+    put(ITEMS[0][1].replace("7 pears", "12 pears"))                  # different slots now equal
+    put(ITEMS[1][1].replace("3 hours", "90 minutes"), 0, 0)          # another unit
+    put(ITEMS[2][1].replace("Bruno", "Carla"))
+    put(" ".join(ITEMS[2][1].split()[:12]))                          # too little of it
+    put(" ".join(w for i, w in enumerate(ITEMS[1][1].split()) if i != 11))
+    put("nothing here")
+    docs += [(50, None, 1, "k", 2), (51, "", 1, "k", 2), (0, docs[0][1], 1, "k", 2), (None, docs[1][1], 1, "k", 2)]
+    want = brute([(x[0], x[1]) for x in docs], ITEMS)
+    got = found(spark, docs, ITEMS)
+    assert got == want
+    assert {(r[0], r[1], r[-1]) for r in got} >= {(0, 1, True), (1, 1, False), (4, 2, False), (5, 3, False)}
+    assert not {2, 3, 6, 8} & {r[0] for r in got}
+
+
+def test_edges(spark):
+    docs = edge.documents(spark)
+    items = spark.createDataFrame([(1, edge.PLAIN)], "item_id long, text string")
+    got = d.contaminated(docs, items)
+    assert sorted((r.doc_id for r in got.collect()), key=repr) == sorted([1, 2, 2, None, 10], key=repr)
+    assert d.contaminated(edge.documents(spark, []), items).count() == 0
+    assert d.contaminated(docs, items.limit(0)).count() == 0
+
+
+def test_a_large_benchmark_is_shuffled(spark, monkeypatch):
+    docs = edge.documents(spark)
+    items = spark.createDataFrame([(1, edge.PLAIN)], "item_id long, text string")
+    want = d.contaminated(docs, items).count()
+    monkeypatch.setattr(d, "BROADCAST_WINDOWS", 0)
+    assert d.contaminated(docs, items).count() == want

@@ -1,0 +1,81 @@
+import base64
+import zlib
+
+import pytest
+import tiktoken
+
+from tests.conftest import SMALL
+from tests.llm import edge
+from wardflow.llm import tokencounts as t
+from wardflow.llm.queries import QUERIES
+from wardflow.session import scratch_folder
+
+IMAGE = "struct<source:string,lang:string,tokenizer:string,tokens:long>"
+
+
+def changes(spark, rows):
+    return spark.createDataFrame(rows, f"doc_id long, before {IMAGE}, after {IMAGE}")
+
+
+@pytest.fixture
+def store(spark):
+    return t.new_store(spark, scratch_folder(spark))
+
+
+def totals(spark, store):
+    return sorted((tuple(r) for r in t.totals(spark, store).collect()), key=repr)
+
+
+def test_batches_count_once(spark, store):
+    one, two = ("a", "en", "v1", 10), (None, None, "v1", 4)
+    assert totals(spark, store) == []
+    load = changes(spark, [(1, None, one), (2, None, one), (3, None, two), (4, None, None)])
+    assert t.commit_batch(spark, store, "load", load)
+    assert not t.commit_batch(spark, store, "load", load)
+    assert totals(spark, store) == sorted([("a", "en", "v1", 2, 20), (None, None, "v1", 1, 4)], key=repr)
+    assert t.commit_batch(spark, store, "next", changes(spark, [(1, one, ("b", "en", "v1", 7)), (3, two, None)]))
+    assert t.commit_batch(spark, store, "nothing", load.limit(0))
+    want = [("a", "en", "v1", 1, 10), ("b", "en", "v1", 1, 7)]
+    assert totals(spark, store) == want
+    other = t.folded(spark, store, scratch_folder(spark))
+    assert totals(spark, other) == want
+    assert not t.commit_batch(spark, other, "load", load)
+    assert t.commit_batch(spark, other, "last", changes(spark, [(2, one, None)])) and totals(spark, other) == want[1:]
+
+
+def test_an_attempt_without_its_commit_is_not_read(spark, store):
+    load = changes(spark, [(1, None, ("a", "en", "v1", 10))])
+    t.signed_sums(load).write.parquet(f"{store}/sums/attempt=died")
+    assert totals(spark, store) == []
+    assert t.commit_batch(spark, store, "load", load)
+    t._commit(spark, store, "load", "zzz")  # a second attempt that got through
+    t.signed_sums(load).write.parquet(f"{store}/sums/attempt=zzz")
+    assert totals(spark, store) == [("a", "en", "v1", 1, 10)]
+
+
+def encoding():
+    with open(t.VOCABULARY, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return tiktoken.Encoding("x", pat_str=t.BYTE_BPE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_query_equals_brute_force(spark):
+    tokens, want = encoding(), {}
+    for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect():
+        fold = zlib.crc32(str(r.doc_id).encode()) % 10
+        if fold == 0:
+            continue
+        text = r.text.partition("\n")[2] if fold == 1 else r.text
+        for name, n in (("bpe", len(tokens.encode_ordinary(text))), ("words", len(text.encode().split()))):
+            docs, total = want.get((r.source, r.lang, name), (0, 0))
+            want[r.source, r.lang, name] = docs + 1, total + n
+    got = {tuple(r)[:3]: tuple(r)[3:] for r in QUERIES["op6_token_counts"](spark, SMALL).collect()}
+    assert got == want
+
+
+def test_edges(spark):
+    got = t.bpe_counts(edge.documents(spark).select("doc_id", "text", "key"), ["text"]).collect()
+    tokens = encoding()
+    want = {r[0]: len(tokens.encode_ordinary(r[1] or "")) for r in edge.rows()}
+    assert len(got) == len(edge.rows()) and all(r.text == want[r.doc_id] for r in got)
+    assert t.bpe_counts(edge.documents(spark, []), ["text"]).count() == 0
