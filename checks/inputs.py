@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.operators.hl7 import hl7_build_adt
+from wardflow.functions.vocabulary import ICD10
+from wardflow.operators.hl7 import Segment, hl7_build_adt
 
 # --- Fixed values: what the derived inputs and the oracles have in common. ---
 FACILITIES = ["NORTH_GENERAL", "LAKESIDE", "ST_BRIDGET", "HARBOR_REGIONAL"]
-DIAGNOSES = [
-    "I10", "E11.9", "J44.1", "I50.9", "N18.3", "S72.001A", "J18.9", "I21.9", "Z99.9", "E1199",
-]
+# All labelled codes from the last to the first, one without a label, one that breaks the format.
+DIAGNOSES = [*sorted(ICD10, reverse=True), "Z99.9", "E1199"]
 SECOND_DIAGNOSIS = "J96.01"
 EVENT_OF_STATUS = {"F": "A01", "O": "A02", "P": "A03"}
 CONDITIONS = [
@@ -55,26 +55,33 @@ def by_status(values: dict[str, str]) -> Column:
 def adt_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(o_orderkey, value): one ADT message per order."""
     key = F.col("o_orderkey")
+    customer = F.col("o_custkey").cast("string")
     facility = pick(FACILITIES, F.col("o_custkey"))
-    patient = F.concat(F.lit("PAT"), F.col("o_custkey").cast("string"), F.lit("^^^"), facility)
     first = pick(DIAGNOSES, key)
     diagnoses = (
         F.when(key % 17 == 0, F.array().cast("array<string>"))
         .when(key % 7 == 0, F.array(first, F.lit(SECOND_DIAGNOSIS)))
         .otherwise(F.array(first))
     )
+    moment = F.date_format("o_orderdate", "yyyyMMddHHmmss")
+    ward = F.when(key % 5 == 0, F.concat(F.lit("WARD_"), (key % 3).cast("string")))
+    nothing = F.lit("")
     built = hl7_build_adt(
         table(spark, sf_dir, "orders"),
-        patient_id=F.when(key % 23 != 0, patient),
-        facility=facility,
-        diagnoses=diagnoses,
-        message_time=F.date_format("o_orderdate", "yyyyMMddHHmmss"),
-        message_id=F.concat(F.lit("MSG"), key.cast("string")),
-        admit_date=F.date_format("o_orderdate", "yyyyMMdd"),
-        event=by_status(EVENT_OF_STATUS),
-        event_location=F.when(
-            key % 5 == 0, F.concat(F.lit("WARD_"), (key % 3).cast("string"))
-        ),
+        [
+            Segment("MSH", {
+                3: facility, 4: facility, 7: moment,
+                9: [F.lit("ADT"), by_status(EVENT_OF_STATUS)],
+                10: F.concat(F.lit("MSG"), key.cast("string")),
+            }),
+            Segment("EVN", {2: moment, 7: ward}),
+            Segment("PID", {
+                3: [F.concat(F.lit("PAT"), customer), nothing, nothing, facility],
+                5: [F.concat(F.lit("F|"), customer), F.concat(F.lit("G&"), key.cast("string"))],
+            }, when=key % 23 != 0),
+            Segment("PV1", {44: F.date_format("o_orderdate", "yyyyMMdd")}),
+            Segment("DG1", lambda code, place: {1: (place + 1).cast("string"), 3: code}, each=diagnoses),
+        ],
         segment_end=F.when(key % 2 == 1, "\n").otherwise("\r"),
         keep=["o_orderkey"],
     )

@@ -100,24 +100,25 @@ ORACLES["hl7_parse_adt"] = hl7(f"SELECT o_orderkey, {PARSED} FROM parsed")
 ORACLES["hl7_parse_errors"] = hl7(
     f"SELECT o_orderkey, {PARSED} FROM parsed WHERE is_parse_error"
 )
-ORACLES["hl7_field"] = hl7("""
+ORACLES["hl7_field"] = hl7(r"""
 SELECT o_orderkey,
        CASE WHEN broken THEN '' ELSE fac END AS sending_facility,
        CASE WHEN broken THEN '' ELSE stamp END AS event_time,
-       CASE WHEN broken OR NOT has_pid THEN '' ELSE 'TEST^PATIENT' END AS name,
+       CASE WHEN broken OR NOT has_pid THEN '' ELSE
+         'F\F\' || o_custkey || '^G\T\' || o_orderkey END AS name,
        CASE WHEN broken THEN '' ELSE day END AS admitted,
        CASE WHEN broken OR NOT has_dx THEN '' ELSE '1' END AS diagnosis_number,
        '' AS absent
 FROM base""")
 ORACLES["hl7_segments"] = hl7("""
 , listed AS (
-  SELECT o_orderkey, 0 AS place, 'MSH' AS kind, 12 AS fields, fac AS third FROM base WHERE NOT broken
+  SELECT o_orderkey, 0 AS place, 'MSH' AS kind, 10 AS fields, fac AS third FROM base WHERE NOT broken
   UNION ALL SELECT o_orderkey, 1, 'EVN', 7, '' FROM base WHERE NOT broken
-  UNION ALL SELECT o_orderkey, 2, 'PID', 11, 'PAT' || o_custkey || '^^^' || fac
+  UNION ALL SELECT o_orderkey, 2, 'PID', 5, 'PAT' || o_custkey || '^^^' || fac
             FROM base WHERE NOT broken AND has_pid
-  UNION ALL SELECT o_orderkey, 3, 'PV1', 44, fac || '^^^' FROM base WHERE NOT broken
-  UNION ALL SELECT o_orderkey, 4, 'DG1', 6, dx FROM base WHERE NOT broken AND has_dx
-  UNION ALL SELECT o_orderkey, 5, 'DG1', 6, 'J96.01' FROM base WHERE NOT broken AND has_second
+  UNION ALL SELECT o_orderkey, 3, 'PV1', 44, '' FROM base WHERE NOT broken
+  UNION ALL SELECT o_orderkey, 4, 'DG1', 3, dx FROM base WHERE NOT broken AND has_dx
+  UNION ALL SELECT o_orderkey, 5, 'DG1', 3, 'J96.01' FROM base WHERE NOT broken AND has_second
 )
 SELECT o_orderkey,
        CAST(place - CASE WHEN o_orderkey % 23 = 0 AND place > 2 THEN 1 ELSE 0 END AS INTEGER)
@@ -137,14 +138,14 @@ ORACLES["hl7_event_code"] = hl7(
 ORACLES["hl7_build_adt"] = hl7(r"""
 SELECT o_orderkey,
        CASE WHEN broken THEN 'garbage' || o_orderkey ELSE
-         'MSH|^~\&|' || fac || '|' || fac || '|ARCHIVE|ARCHIVE|' || stamp || '||ADT^' || event
-         || '|MSG' || o_orderkey || '|P|2.5' || e
-         || 'EVN|' || event || '|' || stamp || '|||||' || ward || e
-         || CASE WHEN has_pid THEN 'PID|1||PAT' || o_custkey || '^^^' || fac
-              || '||TEST^PATIENT||19700101|U|||1 SAMPLE ROAD^^SPRINGFIELD' || e ELSE '' END
-         || 'PV1||I|' || fac || '^^^||||77^ATTENDING^ANY|||MED' || repeat('|', 34) || day || e
-         || CASE WHEN has_dx THEN 'DG1|1|ICD10|' || dx || '||' || day || '|A' || e ELSE '' END
-         || CASE WHEN has_second THEN 'DG1|2|ICD10|J96.01||' || day || '|A' || e ELSE '' END
+         'MSH|^~\&|' || fac || '|' || fac || '|||' || stamp || '||ADT^' || event
+         || '|MSG' || o_orderkey || e
+         || 'EVN||' || stamp || '|||||' || ward || e
+         || CASE WHEN has_pid THEN 'PID|||PAT' || o_custkey || '^^^' || fac
+              || '||F\F\' || o_custkey || '^G\T\' || o_orderkey || e ELSE '' END
+         || 'PV1' || repeat('|', 44) || day || e
+         || CASE WHEN has_dx THEN 'DG1|1||' || dx || e ELSE '' END
+         || CASE WHEN has_second THEN 'DG1|2||J96.01' || e ELSE '' END
        END AS message
 FROM (SELECT *, CASE WHEN o_orderkey % 2 = 1 THEN ';' ELSE '/' END AS e FROM base)""")
 
@@ -476,11 +477,10 @@ ORACLES["ctas_replace"] = (
     "SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY c_mktsegment"
 )
 ORACLES["mask_jdbc_url"] = """
-SELECT c_custkey, CASE WHEN length(u) > 95 THEN left(u, 95) || '...' ELSE u END AS masked
-FROM (SELECT c_custkey,
-             'jdbc:postgresql://host' || (c_custkey % 7) || ':5432/clinic?user=***&password=***&pad='
-             || repeat('x', CAST(c_custkey % 60 AS INTEGER)) AS u
-      FROM customer)"""
+SELECT c_custkey,
+       'jdbc:postgresql://host' || (c_custkey % 7) || ':5432/clinic?user=***&password=***&pad=***'
+         AS masked
+FROM customer"""
 
 # --- Scalar functions ---
 

@@ -84,18 +84,52 @@ def test_random_messages_match_the_contract(spark, texts):
 
 
 def test_build_then_parse_gives_the_columns_back(spark):
-    rows = [("P1^^^A", "A", ["I10", "J18.9"], "W"), (None, "B", [], None), ("P3", "C", ["E11.9"], "")]
+    rows = [("P1", "A", ["I10", "J18.9"], "W|1^~\\&"), (None, "B", [], None), ("P3", "C", ["E11.9"], "")]
     frame = spark.createDataFrame(rows, "pid string, fac string, dx array<string>, loc string")
     built = hl7.hl7_build_adt(
-        frame, patient_id=F.col("pid"), facility=F.col("fac"), diagnoses=F.col("dx"),
-        message_time=F.lit("20200101"), message_id=F.lit("M1"), admit_date=F.lit("20200101"),
-        event_location=F.col("loc"), keep=["fac"],
+        frame,
+        [
+            hl7.Segment("MSH", {3: F.col("fac"), 9: [F.lit("ADT"), F.lit("A01")]}),
+            hl7.Segment("EVN", {7: F.col("loc")}),
+            hl7.Segment("PID", {3: [F.col("pid"), F.lit("x^y")]}, when=F.col("pid").isNotNull()),
+            hl7.Segment("DG1", lambda code, place: {1: place.cast("string"), 3: code}, each=F.col("dx")),
+        ],
+        keep=["fac"],
     )
     renamed = built.withColumnRenamed("fac", "f")
-    found = {row["f"]: row for row in hl7.hl7_parse_adt(renamed, keep=["f"]).collect()}
-    assert found["A"]["patient_id"] == "P1^^^A" and found["A"]["admit_diagnosis"] == "I10"
-    assert found["A"]["admit_location"] == "W" and found["C"]["admit_location"] == "C"
+    parsed = hl7.hl7_parse_adt(renamed, keep=["f"]).withColumn(
+        "place", hl7.hl7_unescaped(F.col("admit_location")))
+    found = {row["f"]: row for row in parsed.collect()}
+    assert found["A"]["patient_id"] == "P1^x\\S\\y" and found["A"]["admit_diagnosis"] == "I10"
+    assert found["A"]["place"] == "W|1^~\\&" and found["C"]["admit_location"] == "C"
     assert found["B"]["patient_id"] == "" and found["B"]["admit_diagnosis"] == ""
+    assert found["A"]["message_type"] == "ADT^A01"
+
+
+def test_escapes_go_both_ways(column):
+    texts = ["a|b^c~d&e\\f", "\\F\\", "x\r\ny", "", None]
+    there = column(texts, "string", hl7.hl7_escaped)
+    assert not any(sign in (text or "") for text in there for sign in "|^~&\r\n")
+    assert column(texts, "string", lambda c: hl7.hl7_unescaped(hl7.hl7_escaped(c))) == texts
+
+
+def test_signs_of_the_message_itself(column):
+    given_, kind = ["ADT$A01", "ADT^A01", "", None], "string"
+    own = F.lit("$~\\&")
+    assert column(given_, kind, lambda c: hl7.hl7_component(c, 2, own)) == ["A01", None, None, None]
+    assert column(["a~b", "a"], kind, hl7.hl7_repetitions) == [["a", "b"], ["a"]]
+    assert column(["a&b", "a"], kind, hl7.hl7_subcomponents) == [["a", "b"], ["a"]]
+    assert column(["a#b"], kind, lambda c: hl7.hl7_repetitions(c, F.lit("^#"))) == [["a", "b"]]
+
+
+def test_field_equals_the_parse(spark):
+    """The search in the text and the cut of the whole text give the same fields."""
+    frame = inputs.adt_messages(spark, SMALL)
+    places = {"a": ("PID", 3), "b": ("DG1", 3), "c": ("EVN", 7), "d": ("PV1", 44), "e": ("PV1", 60)}
+    whole = hl7.hl7_parse_adt(frame, keep=["o_orderkey"], extra=places)
+    fields = [hl7.hl7_field(F.col("value"), *p).alias(f"f_{n}") for n, p in places.items()]
+    both = whole.join(frame.select("o_orderkey", *fields), "o_orderkey")
+    assert both.count() and both.where(" OR ".join(f"{n} <> f_{n}" for n in places)).count() == 0
 
 
 def test_segments_number_fields_as_the_standard_does(spark):

@@ -135,13 +135,14 @@ URLS = [
     ("jdbc:mysql://bob:pw@h:3306/db", "jdbc:mysql://***@h:3306/db"),
     ("jdbc:mysql://bob:p@w@h/db", "jdbc:mysql://***@h/db"),
     ("jdbc:sqlserver://h;databaseName=d;user=bob;password={p;w};x=1",
-     "jdbc:sqlserver://h;databaseName=d;user=***;password=***;x=1"),
+     "jdbc:sqlserver://h;databaseName=d;user=***;password=***;x=***"),
     ("jdbc:oracle:thin:bob/pw@//h:1521/s", "jdbc:oracle:thin:***@//h:1521/s"),
     ("jdbc:x://h;UID=token;PWD=abc;AccessToken=zzz", "jdbc:x://h;UID=***;PWD=***;AccessToken=***"),
     ("jdbc:mysql://bob:p/w@h/db", "jdbc:mysql://***@h/db"),
-    ("jdbc:postgresql://h:5432/db?mail=a@b", "jdbc:postgresql://h:5432/db?mail=a@b"),
-    ("jdbc:x://h?ssl.trustPassword=a&user=b&passage=c", "jdbc:x://h?ssl.trustPassword=***&user=***&passage=c"),
+    ("jdbc:postgresql://h:5432/db?mail=a@b", "jdbc:postgresql://h:5432/db?mail=***"),
+    ("jdbc:x://h?ssl.trustPassword=a&user=b&passage=c", "jdbc:x://h?ssl.trustPassword=***&user=***&passage=***"),
     ("jdbc:derby:memory:x;create=true", "jdbc:derby:memory:x;create=true"),
+    ("jdbc:x://h;password=a;b&c;ssl=true", "jdbc:x://h;password=***;ssl=true"),
     (None, None),
 ]
 
@@ -149,3 +150,15 @@ URLS = [
 def test_mask_jdbc_url(column):
     masked = column([url for url, _ in URLS], "string", fn.mask_jdbc_url)
     assert masked == [shown for _, shown in URLS]
+
+
+SECRETS = ["passphrase", "passcode", "AccountKey", "AccessKey", "SharedAccessSignature", "privateKey",
+           "jwt", "credential"]
+
+
+def test_no_unknown_property_shows_its_value(column):
+    urls = [f"jdbc:x://h:1/db{sign}sslMode=on{sign if sign != '?' else '&'}{name}=hush/1+2==" for name in SECRETS
+            for sign in "?;"]
+    masked = column(urls, "string", fn.mask_jdbc_url)
+    assert all("hush" not in m and "sslMode=on" in m for m in masked)
+    assert column(["jdbc:x://host"], "string", lambda c: fn.mask_jdbc_url(c, 8)) == ["jdbc:x:/..."]

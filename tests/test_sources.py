@@ -182,3 +182,63 @@ def test_missing_landing_folder_is_a_fault(spark, tmp_path):
 
 def test_scratch_folder_is_new_each_time(spark):
     assert scratch_folder(spark) != scratch_folder(spark)
+
+
+def test_several_messages_in_a_file(spark, tmp_path):
+    one, two = "MSH|^~\\&|A|B|||1||ADT^A01\rPID|1||P1", "MSH|^~\\&|C|D|||2||ADT^A02\nEVN||3"
+    cases = {"a": f"{one}\r{two}\n", "b": f"\x0b{one}\x1c\r\x0b{two}\x1c\r\n", "c": f"junk\r\n{one}", "d": " \r\n",
+             "e": one + "\rOBX|1|MSHX"}
+    for name, text in cases.items():
+        (tmp_path / name).write_bytes(text.encode())
+    found = {}
+    for row in files.provenance_columns(files.hl7_file_scan(spark, str(tmp_path))).collect():
+        found.setdefault(row.source_file[-1], []).append(row.value.strip())
+    assert found == {"a": [one, two], "b": [one, two], "c": ["junk", one], "e": [cases["e"]]}
+    framed = files.hl7_file_scan(spark, f"{tmp_path}/b", framed=True).collect()
+    assert [r.value.strip() for r in framed] == [one, two]
+
+
+def test_several_roots_in_a_file(spark, tmp_path):
+    def root(n):
+        return f'<Doc id="{n}"><x>{n}</x><y>more</y></Doc>'
+
+    (tmp_path / "a.xml").write_text(f"<?xml version='1.0'?>\n{root(1)}\n{root(2)}{root(3)}\n")
+    (tmp_path / "b.xml").write_text(root(4))
+    (tmp_path / "c.xml").write_text("no document")
+    schema = "x string, _id int, _corrupt_record string"
+    from pyspark.sql.types import StructType
+
+    rows = files.xml_scan(spark, str(tmp_path), "Doc", StructType.fromDDL(schema)).collect()
+    assert sorted((r.x, r._id) for r in rows if r.x) == [(str(n), n) for n in range(1, 5)]
+    assert [r._corrupt_record for r in rows if not r.x] == ["no document"]
+    texts = files.xml_texts(spark.read.text(f"{tmp_path}/a.xml", wholetext=True), "Doc").collect()
+    assert [r.value for r in texts] == [root(1), root(2), root(3)]
+
+
+def test_several_bundles_in_a_file(spark, tmp_path):
+    from wardflow.operators import fhir
+
+    one = '{"resourceType": "Bundle",\n "entry": [{"resource": {"resourceType": "Patient", "id": "p1"}},\n' \
+          ' {"resource": {"resourceType": "Patient", "id": "p2"}}\n ]\n}'
+    two = one.replace("p1", "p3").replace("p2", "p4")
+    (tmp_path / "a.json").write_text(f"{one}\r\n{two}\n")
+    (tmp_path / "b.json").write_text(one[:60])
+    (tmp_path / "c.json").write_text('{"resourceType": "Patient"}')
+    (tmp_path / "d.json").write_text("\n")
+    bundles = files.fhir_bundle_scan(spark, str(tmp_path))
+    ids = fhir.fhir_entries(bundles).select("id").collect()
+    assert sorted(r.id for r in ids) == ["p1", "p2", "p3", "p4"]
+    errors = fhir.fhir_parse_errors(bundles).collect()
+    assert sorted(r.cause for r in errors) == ["not JSON", "not a Bundle"]
+
+
+def test_a_failing_overwrite_keeps_the_old_table(spark, database):
+    target = f"{database}.kept"
+    tables.table_overwrite_sink(spark.range(5), target)
+    failing = spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception):
+        tables.table_overwrite_sink(failing, target)
+    assert spark.table(target).count() == 5
+    assert [t.name for t in spark.catalog.listTables(database)] == ["kept"]
+    tables.table_overwrite_sink(spark.table(target).where("id < 3").withColumn("x", F.lit(1)), target)
+    assert spark.table(target).columns == ["id", "x"] and spark.table(target).count() == 3

@@ -108,19 +108,19 @@ def validate_codes(code: Column) -> Column:
     )
 
 
-def mask_jdbc_url(url: Column) -> Column:
-    """Connection URL without credentials, shortened for the audit.
+def mask_jdbc_url(url: Column, limit: int | None = None) -> Column:
+    """Connection URL without credentials, shortened to ``limit`` characters (95 for the audit).
 
-    Where it is not clear what ends a password, more is hidden rather than less.
+    Only properties that name the place or the kind of connection keep their value; any other
+    may hold a secret. Where it is not clear what ends a value, more is hidden rather than less.
     """
     hidden = F.regexp_replace(url, r"//[^?;]*@", "//***@")
     # Thin drivers put user/password before the host.
     hidden = F.regexp_replace(hidden, r"(?i)(:(?:thin|oci8?)):[^:/@]+/[^@]*@", "$1:***@")
-    secret = r"(?:user|username|uid|pass)|[\w.]*(?:password|passwd|pwd|secret|token|api_?key)"
-    hidden = F.regexp_replace(
-        hidden, rf"(?i)(?<![\w.])({secret})=(?:\{{[^}}]*\}}|[^;&?]*)", "$1=***"
-    )
-    limit = v.AUDIT_URL_LENGTH
+    shown = "|".join(v.SHOWN_URL_PROPERTIES)
+    value = r"(?:\{[^}]*\}|[^;&]*)(?:[;&][^=;&?]*(?=[;&]|$))*"
+    hidden = F.regexp_replace(hidden, rf"(?i)([?;&])(?!(?:{shown})=)([^=?;&]+)={value}", "$1$2=***")
+    limit = v.AUDIT_URL_LENGTH if limit is None else limit
     return F.when(
         F.length(hidden) > limit, F.concat(F.substring(hidden, 1, limit), F.lit("..."))
     ).otherwise(hidden)

@@ -123,3 +123,10 @@ FEATURE_CODES = {
 def sql_text(text: str) -> str:
     """A Spark SQL string literal for ``text``."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+# Properties of connection URLs that hold no secret.
+SHOWN_URL_PROPERTIES = [
+    "host", "port", "portNumber", "serverName", "instance", "instanceName", "db", "database",
+    "databaseName", "catalog", "schema", "currentSchema", "warehouse", "ssl", "useSSL", "sslMode",
+    "encrypt", "trustServerCertificate", "create",
+]

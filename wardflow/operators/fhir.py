@@ -66,7 +66,7 @@ def fhir_entries(
 ) -> DataFrame:
     """One row per Bundle entry, with the fields of the resource kinds asked for.
 
-    Other kinds are left out. Text that is no Bundle has no entries.
+    Other kinds are left out. Text that is no Bundle has no entries; ``fhir_parse_errors`` lists it.
     """
     kinds = list(kinds or RESOURCE_FIELDS)
     bundle = _struct(entry=ArrayType(_struct(resource=resource_schema(kinds))))
@@ -77,6 +77,22 @@ def fhir_entries(
     )
 
 
+def fhir_parse_errors(bundles: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """The Bundles ``fhir_entries`` gets nothing from by fault: cause, and the start of the text.
+
+    That is text which is no JSON (a truncated file, for instance), and JSON that is no Bundle.
+    """
+    text = F.col(col)
+    kind = F.get_json_object(text, "$.resourceType")
+    cause = (
+        F.when(text.isNull() | ~text.rlike(r"\S"), "no text")
+        .when(F.try_parse_json(text).isNull(), "not JSON")
+        .when(~kind.eqNullSafe(F.lit("Bundle")), "not a Bundle")
+    )
+    told = bundles.select(*keep, cause.alias("cause"), F.substring(text, 1, 100).alias("start_of_text"))
+    return told.where("cause IS NOT NULL")
+
+
 def _of_kind(entries: DataFrame, kind: str) -> DataFrame:
     return entries.where(F.col("resourceType") == kind)
 

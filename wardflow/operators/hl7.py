@@ -7,7 +7,8 @@ itself counts as field 1.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,11 @@ from wardflow.functions import vocabulary as v
 
 # --- Fixed values ---
 ENCODING_CHARACTERS = "^~\\&"
-VERSION = "2.5"
+# Signs with a meaning and how plain text writes them; the escape sign itself comes first.
+ESCAPES = [
+    ("\\", "\\E\\"), ("|", "\\F\\"), ("^", "\\S\\"), ("~", "\\R\\"), ("&", "\\T\\"),
+    ("\r", "\\X0D\\"), ("\n", "\\X0A\\"),
+]
 NO_TEXT = "no message text"
 NOT_MSH = "first segment is not MSH"
 SHORT_MSH = "MSH segment ends before field 9"
@@ -80,15 +85,21 @@ def _field(pieces: Column, segment: str, number: int) -> Column:
 def hl7_field(text: Column, segment: str, field: int) -> Column:
     """Field of the first segment of a type: '' if missing, NULL for NULL text.
 
-    Composites are kept whole. For many fields of a message use ``hl7_parse_adt`` with ``extra``,
-    which cuts the text once for all of them.
+    Composites are kept whole. In messages with the pipe as separator the segment is found by one
+    search, and only its own line is cut; others are cut as a whole. For many fields of a message
+    use ``hl7_parse_adt`` with ``extra``, which cuts the text once for all of them.
     """
+    message = _trimmed(text)
     if segment == "MSH" and field == 1:
-        separator = F.when(_trimmed(text).startswith("MSH"), _separator(_trimmed(text)))
+        separator = F.when(message.startswith("MSH"), _separator(message))
         return F.when(text.isNotNull(), F.coalesce(separator, F.lit("")))
+    uses_pipe = (_separator(message) == "|") | ~message.startswith("MSH")
+    line = F.regexp_extract(
+        message, rf"(?:^|[\r\n])({segment}(?:\|[^\r\n]*)?)(?![^\r\n])", 1)
+    found = _field(F.split(line, r"\|"), segment, field)
     lines = _lines(_normalised(text))
-    value = _field(_first_segment(lines, _types(lines), segment), segment, field)
-    return F.when(text.isNotNull(), _restored(value))
+    other = _restored(_field(_first_segment(lines, _types(lines), segment), segment, field))
+    return F.when(text.isNotNull(), F.when(uses_pipe, found).otherwise(other))
 
 
 def hl7_parse_adt(
@@ -195,72 +206,101 @@ def hl7_segments(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) ->
     )
 
 
-def hl7_components(field: Column) -> Column:
-    """Parts of a composite field."""
-    return F.split(field, r"\^")
+def hl7_components(field: Column, encoding: Column | None = None) -> Column:
+    """Parts of a composite field. ``encoding`` is MSH-2 where a message may choose its own signs."""
+    if encoding is None:
+        return F.split(field, r"\^")
+    return _cut(field, encoding, 1)
+
+
+def _cut(text: Column, encoding: Column, place: int) -> Column:
+    standard = ENCODING_CHARACTERS[place - 1]
+    sign = F.substring(encoding, place, 1)
+    sign = F.when(F.length(sign) == 1, sign).otherwise(F.lit(standard))
+    quoted = F.concat(F.lit("\\Q"), sign, F.lit("\\E"))
+    return F.split(text, quoted)
 
 
-def hl7_component(field: Column, number: int) -> Column:
+def hl7_component(field: Column, number: int, encoding: Column | None = None) -> Column:
     """Part of a composite field, counted from 1; NULL beyond its end."""
-    return F.try_element_at(hl7_components(field), F.lit(number))
+    return F.try_element_at(hl7_components(field, encoding), F.lit(number))
+
+
+def hl7_repetitions(field: Column, encoding: Column | None = None) -> Column:
+    """The values of a field that repeats."""
+    return _cut(field, F.lit(ENCODING_CHARACTERS) if encoding is None else encoding, 2)
+
+
+def hl7_subcomponents(component: Column, encoding: Column | None = None) -> Column:
+    """Parts of a component."""
+    return _cut(component, F.lit(ENCODING_CHARACTERS) if encoding is None else encoding, 4)
+
+
+def hl7_escaped(text: Column) -> Column:
+    """Plain text as it is written into a field: signs with a meaning become escapes."""
+    for sign, escape in ESCAPES:
+        text = F.replace(text, F.lit(sign), F.lit(escape))
+    return text
+
+
+def hl7_unescaped(text: Column) -> Column:
+    """The plain text of a value, read from left to right; unknown escapes stay."""
+    known = F.create_map(*[F.lit(x) for sign, escape in ESCAPES for x in (escape, sign)])
+    pieces = F.regexp_extract_all(text, F.lit(r"\\(?:[EFSRT]|X0[AD])\\|[^\\]+|\\"), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda x: F.coalesce(known[x], x)), "")
 
 
-def _segment(name: str, fields: Mapping[int, Column]) -> Column:
+@dataclass(frozen=True)
+class Segment:
+    """A segment to build: plain text per field number, or a list of plain texts for components.
+
+    ``when`` leaves the segment out where it is not true. With ``each``, an array, there is one
+    segment per element, and ``fields`` is a function of the element and its place from 0.
+    """
+
+    name: str
+    fields: Mapping[int, Column | Sequence[Column]] | Callable
+    when: Column | None = None
+    each: Column | None = None
+
+
+def _written(name: str, fields: Mapping[int, Column | Sequence[Column]]) -> Column:
+    def value(number: int) -> Column:
+        given = fields.get(number)
+        if given is None:
+            return F.lit("")
+        if name == "MSH" and number == 2:
+            return given
+        parts = [given] if isinstance(given, Column) else given
+        return F.concat_ws("^", *[F.coalesce(hl7_escaped(x), F.lit("")) for x in parts])
+
     first = 2 if name == "MSH" else 1
-    pieces = [F.lit(name)]
-    for number in range(first, max(fields) + 1):
-        pieces.append(F.coalesce(fields[number], F.lit("")) if number in fields else F.lit(""))
-    return F.concat_ws("|", *pieces)
+    return F.concat_ws("|", F.lit(name), *[value(n) for n in range(first, max(fields, default=0) + 1)])
+
+
+def _repeated(segment: Segment) -> Column:
+    return F.transform(segment.each, lambda x, i: _written(segment.name, segment.fields(x, i)))
 
 
 def hl7_build_adt(
     df: DataFrame,
-    *,
-    patient_id: Column,
-    facility: Column,
-    diagnoses: Column,
-    message_time: Column,
-    message_id: Column,
-    admit_date: Column,
-    event: Column | None = None,
-    event_location: Column | None = None,
+    segments: Sequence[Segment],
     segment_end: Column | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """ADT message text from columns, as ``value``.
+    """Message text from columns, as ``value``: the segments in the order given.
 
-    Without a ``patient_id`` there is no PID segment; each element of the ``diagnoses`` array
-    makes one DG1 segment.
+    The encoding characters of MSH-2 are filled in; everything else comes from the columns.
     """
-    event = F.lit("A01") if event is None else event
+    parts = []
+    for segment in segments:
+        if segment.each is not None:
+            parts.append(_repeated(segment))
+            continue
+        fields = dict(segment.fields)
+        if segment.name == "MSH":
+            fields = {2: F.lit(ENCODING_CHARACTERS), **fields}
+        text = _written(segment.name, fields)
+        parts.append(text if segment.when is None else F.when(segment.when, text))
     end = F.lit("\r") if segment_end is None else segment_end
-    header = _segment("MSH", {
-        2: F.lit(ENCODING_CHARACTERS), 3: facility, 4: facility,
-        5: F.lit("ARCHIVE"), 6: F.lit("ARCHIVE"), 7: message_time,
-        9: F.concat(F.lit("ADT^"), event), 10: message_id, 11: F.lit("P"), 12: F.lit(VERSION),
-    })
-    happened = {1: event, 2: message_time}
-    if event_location is not None:
-        happened[7] = event_location
-    patient = F.when(
-        patient_id.isNotNull(),
-        _segment("PID", {
-            1: F.lit("1"), 3: patient_id, 5: F.lit("TEST^PATIENT"), 7: F.lit("19700101"),
-            8: F.lit("U"), 11: F.lit("1 SAMPLE ROAD^^SPRINGFIELD"),
-        }),
-    )
-    visit = _segment("PV1", {
-        2: F.lit("I"), 3: F.concat(facility, F.lit("^^^")), 7: F.lit("77^ATTENDING^ANY"),
-        10: F.lit("MED"), 44: admit_date,
-    })
-    found = F.transform(
-        diagnoses,
-        lambda code, place: _segment("DG1", {
-            1: (place + 1).cast("string"), 2: F.lit("ICD10"), 3: code, 5: admit_date,
-            6: F.lit("A"),
-        }),
-    )
-    text = F.call_function(
-        "concat_ws", end, header, _segment("EVN", happened), patient, visit, found
-    )
-    return df.select(*keep, F.concat(text, end).alias("value"))
+    return df.select(*keep, F.concat(F.call_function("concat_ws", end, *parts), end).alias("value"))

@@ -13,23 +13,34 @@ FRAME_END = "\x1c\r"
 
 
 def hl7_text_options(reader: DataFrameReader | DataStreamReader, framed: bool):
-    """One message per file, or many per file between block frames (such files can be split)."""
+    """Whole files, or rows that end where a block frame ends (such files can be split)."""
     if framed:
         return reader.format("text").option("lineSep", FRAME_END)
     return reader.format("text").option("wholetext", "true")
 
 
 def unframed(messages: DataFrame, framed: bool) -> DataFrame:
-    if not framed:
-        return messages
-    return messages.withColumn("value", F.ltrim(F.col("value"), F.lit(FRAME_START + "\r\n")))
+    """One row per message: a line that begins with MSH begins a message, frames are taken off.
+
+    Text before the first MSH is a row of its own, and becomes a parse error. What is left after
+    the last frame, and other blank text, is no message.
+    """
+    frames = F.lit(FRAME_START + FRAME_END + "\n \t")
+    if framed:
+        return messages.withColumn("value", F.ltrim(F.col("value"), F.lit(FRAME_START + "\r\n"))).where(
+            F.btrim("value", frames) != "")
+    pieces = F.split("value", r"\x1c|(?<=[\r\n\x0b])(?=MSH[^\w\s])")
+    kept = F.filter(F.transform(pieces, lambda m: F.ltrim(m, F.lit(FRAME_START + "\r\n"))),
+                    lambda m: F.btrim(m, frames) != "")
+    return messages.withColumn("value", F.explode(kept))
 
 
 def hl7_file_scan(spark: SparkSession, path: str, framed: bool = False) -> DataFrame:
     """Messages below ``path`` as ``value``, one row per message.
 
-    By default a file is one message. At scale let the interface engine land block-framed files
-    and pass ``framed``: millions of tiny files cost more to list and open than to parse.
+    By default a file is read whole and may hold one message or several. At scale let the
+    interface engine land block-framed files and pass ``framed``, so that large files are split:
+    millions of tiny files cost more to list and open than to parse.
     """
     return unframed(hl7_text_options(spark.read, framed).load(path), framed)
 
@@ -60,22 +71,42 @@ def xml_scan(
 ) -> DataFrame:
     """One row per ``row_tag`` element, read with an explicit schema.
 
-    The default reads well-formed XML files, each whole in one task. ``one_per_line`` is for
-    files that hold one document per line; they are split, and a file with several roots is
-    only read in full this way.
+    By default a file is read whole, in one task, and cut at the end of each element, so that all
+    of several documents in it are found. Text without such an element is one row, which the
+    parser marks as corrupt. ``one_per_line`` is for files with one document per line, which are
+    split.
     """
-    return (
-        spark.read.format("xml")
-        .option("rowTag", row_tag)
-        .option("multiLine", str(not one_per_line).lower())
-        .schema(schema)
-        .load(path)
-    )
+    if one_per_line:
+        reader = spark.read.format("xml").option("rowTag", row_tag).option("multiLine", "false")
+        return reader.schema(schema).load(path)
+    pieces = xml_texts(spark.read.text(path, wholetext=True), row_tag)
+    options = {"rowTag": row_tag, "columnNameOfCorruptRecord": "_corrupt_record"}
+    return pieces.select(F.from_xml("value", schema, options).alias("row")).select("row.*")
+
+
+def xml_texts(files: DataFrame, row_tag: str) -> DataFrame:
+    """The text of each ``row_tag`` element in ``value``, one row per element.
+
+    Keep it beside the parsed columns to have what the schema leaves out.
+    """
+    element = rf"(?s)<{row_tag}(?:\s[^>]*)?(?:/>|>.*?</{row_tag}\s*>)"
+    found = F.regexp_extract_all("value", F.lit(element), F.lit(0))
+    some = F.when(F.size(found) > 0, found).when(F.col("value").rlike(r"\S"), F.array("value"))
+    return files.withColumn("value", F.explode(some))
 
 
 def fhir_bundle_scan(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
-    """Bundles below a path or glob as JSON text in ``value``: one per file, or one per line."""
-    return spark.read.text(path, wholetext=not one_per_line)
+    """Bundles below a path or glob as JSON text in ``value``.
+
+    By default a file is read whole; of several Bundles in it each begins on a new line after the
+    end of the one before. Within JSON a line end never parts two braces without a comma, and in
+    its strings line ends are escaped. ``one_per_line`` is for files that are split.
+    """
+    texts = spark.read.text(path, wholetext=not one_per_line)
+    if one_per_line:
+        return texts
+    bundles = F.filter(F.split("value", r"(?<=\})[ \t]*[\r\n]\s*(?=\{)"), lambda b: b.rlike(r"\S"))
+    return texts.withColumn("value", F.explode(bundles))
 
 
 def landing_files(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +17,25 @@ def create_database_of(spark: SparkSession, table: str) -> None:
 
 
 def table_overwrite_sink(df: DataFrame, table: str) -> None:
-    """Replace a managed table in full. ``df`` must not read the table itself."""
-    create_database_of(df.sparkSession, table)
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    """Replace a managed table in full.
+
+    The rows are written to a new table first; only when that is complete the old one is dropped
+    and the new one takes its name. A load that fails leaves the old table as it was, and ``df``
+    may read the table that it replaces.
+    """
+    spark = df.sparkSession
+    create_database_of(spark, table)
+    *database, name = table.replace("`", "").split(".")
+    new = ".".join(f"`{part}`" for part in [*database, f"{name}_next_{uuid.uuid4().hex}"])
+    old = ".".join(f"`{part}`" for part in [*database, name])
+    try:
+        df.write.format("parquet").saveAsTable(new)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {old}")
+    spark.catalog.refreshTable(old)
 
 
 def ctas_replace(spark: SparkSession, table: str, query: str | DataFrame) -> DataFrame:
