@@ -166,7 +166,12 @@ WHERE facility = {text(FACILITY)}
 UNION ALL SELECT 'all', facility, patient_id, message_id FROM parsed""")
 ORACLES["preview"] = hl7("""
 SELECT message_id, patient_id, admit_location, admit_diagnosis, message_type, facility
-FROM parsed WHERE NOT is_parse_error ORDER BY message_id LIMIT 10""")
+FROM parsed ORDER BY message_id LIMIT 10""")
+ORACLES["hl7_file_scan_plain"] = hl7("SELECT message_id FROM parsed WHERE NOT is_parse_error")
+ORACLES["fhir_parse_errors"] = """
+SELECT c_custkey, CASE c_custkey % 10 WHEN 0 THEN 'not JSON' ELSE 'not a Bundle' END AS cause,
+       CASE c_custkey % 10 WHEN 0 THEN '{"resourceType":"Bundle","entr' ELSE '{}' END AS start_of_text
+FROM customer WHERE c_custkey % 10 < 2"""
 ORACLES["tolerant_count"] = """
 SELECT 'parsed_hl7' AS table_name, count(*) AS rows FROM orders
 UNION ALL SELECT 'no_such_table', 0"""
@@ -376,6 +381,8 @@ def ccda(sql: str) -> str:
 ORACLES["xml_scan"] = ccda(
     "SELECT patient, city, first_name, given_names, last_name, sections FROM documents"
 )
+ORACLES["xml_scan_plain"] = ORACLES["xml_scan"]
+ORACLES["fhir_bundle_scan_plain"] = ORACLES["fhir_bundle_scan"]
 ORACLES["ccda_documents"] = ccda("SELECT * FROM documents")
 ORACLES["ccda_sections"] = ccda("""
 SELECT c_custkey, 'Allergies' AS title, CAST(1 AS INTEGER) AS entries FROM documents

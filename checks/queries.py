@@ -120,14 +120,14 @@ def ctas_replace(spark, sf_dir):
     return sinks.ctas_replace(spark, target, grouped)
 
 
-def _document_summary(documents: DataFrame) -> list[Column]:
-    patient = "recordTarget.patientRole"
+def _document_summary() -> list[Column]:
+    name = ccda.patient_name()
     return [
-        F.col(f"{patient}.id._extension").alias("patient"),
-        F.col(f"{patient}.addr.city").alias("city"),
-        F.get(f"{patient}.patient.name.given", F.lit(0)).alias("first_name"),
-        F.size(f"{patient}.patient.name.given").alias("given_names"),
-        F.col(f"{patient}.patient.name.family").alias("last_name"),
+        F.get(ccda.patient_role()["id"], F.lit(0))["_extension"].alias("patient"),
+        ccda.patient_address()["city"].alias("city"),
+        F.get(name["given"], F.lit(0)).alias("first_name"),
+        F.size(name["given"]).alias("given_names"),
+        name["family"].alias("last_name"),
         F.size("component.structuredBody.component").alias("sections"),
     ]
 
@@ -135,7 +135,7 @@ def _document_summary(documents: DataFrame) -> list[Column]:
 @query
 def xml_scan(spark, sf_dir):
     scanned = tables.scanned_documents(spark, sf_dir)
-    return scanned.select(_document_summary(scanned))
+    return scanned.select(_document_summary())
 
 
 @query
@@ -156,6 +156,46 @@ def hl7_file_scan(spark, sf_dir):
     )
 
 
+def _plain(spark, sf_dir, name: str, texts: DataFrame) -> str:
+    """Texts as ordinary files that hold many of them each."""
+    path = tables.new_path(spark, sf_dir, name)
+    texts.select("value").write.text(path)
+    return path
+
+
+@query
+def hl7_file_scan_plain(spark, sf_dir):
+    messages = inputs.adt_messages(spark, sf_dir).where(F.col("o_orderkey") % 97 != 0)
+    scanned = files.hl7_file_scan(spark, _plain(spark, sf_dir, "plain-messages", messages))
+    return scanned.select(hl7.hl7_field(F.col("value"), "MSH", 10).alias("message_id"))
+
+
+@query
+def xml_scan_plain(spark, sf_dir):
+    path = _plain(spark, sf_dir, "plain-documents", inputs.ccda_documents(spark, sf_dir))
+    return files.xml_scan(spark, path, ccda.ROW_TAG, ccda.DOCUMENT_SCHEMA).select(_document_summary())
+
+
+@query
+def fhir_bundle_scan_plain(spark, sf_dir):
+    path = _plain(spark, sf_dir, "plain-bundles", inputs.fhir_bundles(spark, sf_dir))
+    return files.fhir_bundle_scan(spark, path).select(
+        F.get_json_object("value", "$.entry[0].resource.id").alias("first_id"),
+        F.json_array_length(F.get_json_object("value", "$.entry")).alias("entries"),
+    )
+
+
+@query
+def fhir_parse_errors(spark, sf_dir):
+    key, text = F.col("c_custkey"), F.lit('{"resourceType":"Bundle","entry":[]}')
+    bundles = inputs.table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(key % 10 == 0, F.substring(text, 1, 30)).when(key % 10 == 1, "{}").otherwise(text)
+        .alias("value"),
+    )
+    return fhir.fhir_parse_errors(bundles, keep=["c_custkey"])
+
+
 @query
 def provenance_columns(spark, sf_dir):
     path = tables.landed_messages(spark, sf_dir)
@@ -259,7 +299,7 @@ def hl7_build_adt(spark, sf_dir):
 @query
 def ccda_documents(spark, sf_dir):
     parsed = ccda.ccda_documents(inputs.ccda_documents(spark, sf_dir), keep=["c_custkey"])
-    return parsed.select("c_custkey", *_document_summary(parsed))
+    return parsed.select("c_custkey", *_document_summary())
 
 
 @query
@@ -333,7 +373,7 @@ QUERIES["optional_facility_filter"] = QUERIES.pop("optional_facility_filter_quer
 
 @query
 def preview(spark, sf_dir):
-    parsed = tables.parsed_hl7(spark, sf_dir).where("not is_parse_error")
+    parsed = tables.parsed_hl7(spark, sf_dir)
     return sinks.preview(
         parsed.select("message_id", *hl7.PARSED_COLUMNS), 10, order_by=["message_id"]
     )

@@ -209,11 +209,12 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         jdbc.audit_append(
             jdbc.jdbc_transfer_audited(spark, "", DERBY_DRIVER, "provider", target), log
         )
-        for source in ("supplier", "orders"):
+        for source, key in (("supplier", "s_suppkey"), ("orders", "o_orderkey")):
             url, driver = external_table(spark, sf_dir, source)
             target = new_table(spark, sf_dir, source)
             jdbc.audit_append(
-                jdbc.jdbc_transfer_audited(spark, url, driver, source, target), log
+                jdbc.jdbc_transfer_audited(
+                    spark, url, driver, source, target, partition_column=key), log
             )
         return log
 

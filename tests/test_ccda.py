@@ -94,3 +94,19 @@ def test_files_read_as_the_text_column_does(spark, tmp_path):
         assert scanned.count() == 5
         found = sorted(map(tuple, ccda.ccda_medications(scanned).collect()), key=repr)
         assert found == expected
+
+
+def test_the_first_of_repeated_elements_counts_and_none_is_lost(spark):
+    def role(city, name, number):
+        return (f'<recordTarget><patientRole><id extension="{number}"/><id extension="x"/>'
+                f"<addr><city>{city}</city></addr><addr><city>OLD</city></addr><patient>"
+                f"<name><given>{name}</given><family>A</family></name><name><given>B</given>"
+                "<family>MAIDEN</family></name></patient></patientRole></recordTarget>")
+
+    text = f"<ClinicalDocument>{role('HERE', 'C', 'p1')}{role('THERE', 'D', 'p2')}</ClinicalDocument>"
+    documents = ccda.ccda_documents(spark.createDataFrame([(text,)], "value string"))
+    row = documents.select(ccda.patient_address()["city"].alias("city"), ccda.patient_name().alias("name"),
+                           ccda.patient_role()["id"].alias("ids"), "recordTarget").first()
+    assert (row.city, row.name.given, row.name.family) == ("HERE", ["C"], "A")
+    assert [i._extension for i in row.ids] == ["p1", "x"]
+    assert [[a.city for a in t.patientRole.addr] for t in row.recordTarget] == [["HERE", "OLD"], ["THERE", "OLD"]]

@@ -57,6 +57,18 @@ def test_partitioned_scan_of_an_empty_table(spark, url):
     assert scan.count() == 0
 
 
+def test_predicates_split_a_hot_key(spark, url):
+    parts = [f'MOD("k", 4) = {i}' for i in range(4)]
+    scan = jdbc.jdbc_predicates_scan(spark, url, DERBY_DRIVER, "items", parts)
+    assert scan.rdd.getNumPartitions() == 4 and scan.agg(F.sum("k")).first()[0] == 4950
+
+
+def test_names_are_quoted_as_the_database_does(spark):
+    assert jdbc.quoted(spark, "jdbc:mysql://h/db", "x") == "`x`"
+    assert jdbc.quoted(spark, "jdbc:postgresql://h/db", "x") == '"x"'
+    assert jdbc.quoted(spark, "jdbc:databricks://h/db", "x") == "`x`"
+
+
 def test_transfer_and_audit(spark, url, database):
     target, log = f"{database}.items", f"{database}.jdbc_ingests"
     for _ in range(2):

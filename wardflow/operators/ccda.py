@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -36,19 +36,21 @@ def _body(section: StructType) -> StructType:
     return _struct(structuredBody=_struct(component=ArrayType(_struct(section=section))))
 
 
-# Elements that may repeat are arrays, whether or not a given document repeats them.
+def _people(id_: StructType | None, addr: StructType, **patient) -> ArrayType:
+    role = {} if id_ is None else {"id": ArrayType(id_)}
+    who = _struct(name=ArrayType(_NAME), **patient)
+    return ArrayType(_struct(patientRole=_struct(**role, addr=ArrayType(addr), patient=who)))
+
+
+# Elements that may repeat are arrays, whether or not a given document repeats them: all are kept,
+# and where one is asked for the first counts.
 DOCUMENT_SCHEMA = _struct(
     id=_ID,
     title=_TEXT,
     effectiveTime=_struct(_value=_TEXT),
-    recordTarget=_struct(
-        patientRole=_struct(
-            id=_ID,
-            addr=_struct(city=_TEXT, state=_TEXT, postalCode=_TEXT, country=_TEXT),
-            patient=_struct(
-                name=_NAME, administrativeGenderCode=_CODE, birthTime=_struct(_value=_TEXT)
-            ),
-        )
+    recordTarget=_people(
+        _ID, _struct(city=_TEXT, state=_TEXT, postalCode=_TEXT, country=_TEXT),
+        administrativeGenderCode=_CODE, birthTime=_struct(_value=_TEXT),
     ),
     component=_body(_struct(title=_TEXT, code=_CODE, entry=_entries(_CODE))),
     _corrupt_record=_TEXT,
@@ -57,13 +59,30 @@ DOCUMENT_SCHEMA = _struct(
 # What the medication rows need. The parser's work grows with the schema: to go from text or
 # files straight to medications this one takes about a quarter less time.
 MEDICATION_SCHEMA = _struct(
-    recordTarget=_struct(
-        patientRole=_struct(addr=_struct(city=_TEXT), patient=_struct(name=_NAME))
-    ),
+    recordTarget=_people(None, _struct(city=_TEXT)),
     component=_body(_struct(title=_TEXT, entry=_entries(_struct(_displayName=_TEXT)))),
 )
 
 
+def _first(array: Column) -> Column:
+    return F.get(array, F.lit(0))
+
+
+def patient_role() -> Column:
+    """The first patient of a document."""
+    return _first(F.col("recordTarget"))["patientRole"]
+
+
+def patient_name() -> Column:
+    """The first name of the first patient."""
+    return _first(patient_role()["patient"]["name"])
+
+
+def patient_address() -> Column:
+    """The first address of the first patient."""
+    return _first(patient_role()["addr"])
+
+
 def ccda_documents(
     df: DataFrame,
     col: str = "value",
@@ -84,12 +103,12 @@ def ccda_documents(
 
 def ccda_sections(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per body section: the patient of the document, the title and the entries."""
-    patient = F.col("recordTarget.patientRole.patient.name")
+    name = patient_name()
     return documents.select(
         *keep,
-        F.col("recordTarget.patientRole.addr.city").alias("city"),
-        F.get(patient["given"], F.lit(0)).alias("first_name"),
-        patient["family"].alias("last_name"),
+        patient_address()["city"].alias("city"),
+        _first(name["given"]).alias("first_name"),
+        name["family"].alias("last_name"),
         F.explode("component.structuredBody.component").alias("_component"),
     ).select(
         *keep,
