@@ -157,3 +157,18 @@ def test_lookup_join_equals_the_function(spark, system, values):
 
 def test_terminology_size(spark):
     assert terminology(spark).count() == 49
+
+
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_codes_of_ones_own(spark, monkeypatch, limit):
+    from wardflow.operators import terminology
+
+    monkeypatch.setattr(terminology, "BROADCAST_CODES", limit)
+    codes = spark.createDataFrame(
+        [("icd10", "Z99.9", "Dependence"), ("icd10", "I10", "Own label"), ("icd10", "I10", "Zzz")],
+        "system string, code string, description string")
+    rows = spark.createDataFrame([("I10",), ("Z99.9",), ("J18.9",), ("X99",), (None,)], "c string")
+    out = terminology.terminology_enrich(rows, "c", "icd10", codes)
+    found = {r.c: r.description for r in out.collect()}
+    assert found["I10"] == "Own label" and found["Z99.9"] == "Dependence"
+    assert found["J18.9"] == "Pneumonia, unspecified organism" and found["X99"] == "X99"

@@ -254,3 +254,15 @@ def test_a_failing_overwrite_keeps_the_old_table(spark, database):
     assert [t.name for t in spark.catalog.listTables(database)] == ["kept"]
     tables.table_overwrite_sink(spark.table(target).where("id < 3").withColumn("x", F.lit(1)), target)
     assert spark.table(target).columns == ["id", "x"] and spark.table(target).count() == 3
+
+
+def test_upsert_of_null_keys_and_null_marks(spark, database, tmp_path):
+    target = f"{database}.nulls"
+    schema = "k long, at timestamp, n int"
+    tables.table_overwrite_sink(spark.createDataFrame(
+        [(1, datetime(2020, 1, 1), 1), (None, datetime(2020, 1, 1), 2)], schema), target)
+    source = spark.createDataFrame(
+        [(None, datetime(2020, 1, 2), 3), (2, None, 4), (1, datetime(2019, 1, 1), 5)], schema)
+    for turn in range(2):
+        merged = jdbc.incremental_upsert(source, target, "k", "at", f"{tmp_path}/v{turn}")
+        assert sorted((tuple(r)[::2] for r in merged.collect()), key=repr) == [(1, 1), (2, 4), (None, 3)]
