@@ -21,8 +21,12 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows whose key is not among the ids of ``gone``."""
-    ids = gone.select(F.col("doc_id").alias("gone")).distinct()
+    """The rows whose key is not among the ids of ``gone``.
+
+    The ids are written first, so Spark knows their size when it chooses between a broadcast of
+    the ids and a shuffle of the texts.
+    """
+    ids = staged(gone.select(F.col("doc_id").alias("gone")).distinct(), "gone")
     return rows.join(ids, F.col("key") == F.col("gone"), "left_anti").select("row.*")
 
 
