@@ -82,7 +82,7 @@ def sizes_by_language(dictionaries: dict[str, bytes]):
 def judged(text: str | None, names: list[str], sizes) -> tuple[str, float, bool]:
     """Language, score and rejection of one text."""
     plain = normalised(text) if text else b""
-    if not plain or not names:
+    if not plain or not names or not any(map(str.isalpha, text)):
         return "und", 0.0, True
     size = sizes(plain)
     best = int(size.argmin())
