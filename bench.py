@@ -17,6 +17,7 @@ from collections.abc import Callable
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from checks import tables  # noqa: E402
 from checks.queries import QUERIES  # noqa: E402
@@ -29,8 +30,11 @@ OVER_TABLES = [
     "q_kpi_hl7", "q_top_admit_diagnoses_described", "q_diagnosis_by_facility", "q_hl7_enriched",
     "q_recent_messages", "dq_hl7_completeness", "q_top_medications", "q_medications_by_city",
     "q_condition_codes_described", "q_comorbidity_distribution", "q_table_inventory",
-    "terminology_enrich", "register_functions",
+    "terminology_enrich", "register_functions", "incremental_upsert", "xml_scan_plain",
+    "hl7_file_scan_plain",
 ]
+FIELDS = {"sending_facility": ("MSH", 4), "event_time": ("EVN", 2), "name": ("PID", 5),
+          "admitted": ("PV1", 44), "diagnosis": ("DG1", 3), "absent": ("PV1", 60)}
 
 
 def from_files(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
@@ -49,6 +53,9 @@ def from_files(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataF
 
     return {
         "hl7_parse_adt": lambda: hl7.hl7_parse_adt(messages()),
+        "hl7_field": lambda: messages().select(
+            *[hl7.hl7_field(F.col("value"), *place).alias(name) for name, place in FIELDS.items()]),
+        "hl7_parse_adt_extra": lambda: hl7.hl7_parse_adt(messages(), extra=FIELDS),
         "hl7_segments": lambda: hl7.hl7_segments(messages()),
         "fhir_to_person": lambda: fhir.fhir_to_person(entries("Patient")),
         "fhir_to_condition_occurrence": conditions,
