@@ -8,10 +8,11 @@ has are left out at once, and the long lists of frequent pairs are skipped. Coll
 candidates are then counted on their signatures, and those with enough are confirmed on the full
 sets.
 
-Lists are merged without making all their pairs. In each of ``ROUNDS`` rounds a list is compared
-with one member of it, another one each time, and what is confirmed is joined into components;
-lists within one component are done. Only then are the remaining pairs between different
-components of a list made, compared, and joined.
+Lists are merged without a row per pair. At first a list is compared with ``CHOSEN`` of its members,
+and what is confirmed is joined into components; lists within one component are done. The longer ones of the rest overlap much, so each document first takes its
+longest open list as its home and is compared with the others at home; a list whose members share
+a home is done. Whatever is still open is compared in full. Both go by tiles of ``TILE`` documents
+whose full sets a task intersects at once, and from which only a forest of links comes out.
 
 Defined cases: NULL text and text without words have an empty set and link with nothing; with fewer
 words than a shingle has, the whole sequence is the one shingle; equal sets are one class from the
@@ -34,7 +35,9 @@ from wardflow.llm import graph, words
 from wardflow.llm.staging import bounded_batches, keyed, staged
 from wardflow.llm.substrings import _binary
 
-COORDINATES, MISSED, ROUNDS = 32, 1e-5, 3
+COORDINATES, MISSED, CHOSEN, HOMES = 32, 1e-5, 2, 2
+#: Documents of a tile, and the shingles it may hold (16 MB) if there is more than one of them.
+TILE, TILE_SHINGLES, COLUMNS = 256, 2_000_000, 4096
 _random = np.random.default_rng(271828)
 _factor = _random.integers(0, 1 << 63, 128, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _offset = _random.integers(0, 1 << 63, 128, dtype=np.uint64)
@@ -143,6 +146,70 @@ def _confirmed(percent: int):
     return run
 
 
+def _shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by products of incidence matrices of the shingles met twice."""
+    every, inverse, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    met = times[inverse] > 1
+    of, column = of[met], (np.cumsum(times > 1) - 1)[inverse[met]]
+    order = np.argsort(column, kind="stable")
+    of, column = of[order], column[order]
+    shared = np.zeros((len(sets), len(sets)), np.float64)
+    for first in range(0, int((times > 1).sum()), COLUMNS):
+        at, to = np.searchsorted(column, (first, first + COLUMNS))
+        inside = np.zeros((len(sets), COLUMNS), np.float32)
+        inside[of[at:to], column[at:to] - first] = 1
+        shared += inside @ inside.T
+    return shared
+
+
+def _forest(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Links of a tile as ``(key, least key index that it reaches)``."""
+    keys = [r[0] for r in rows]
+    component = np.array([r[1] for r in rows])
+    if (component == component[0]).all():
+        return []
+    sets = [np.frombuffer(r[2], np.uint64) for r in rows]
+    size, shared = np.array([len(x) for x in sets]), _shared_counts(sets)
+    linked = 100 * shared >= percent * (size[:, None] + size[None, :] - shared)
+    linked &= component[:, None] != component[None, :]
+    if not linked.any():
+        return []
+    least = np.arange(len(rows))
+    while True:
+        new = np.minimum(least, np.where(linked, least[None, :], len(rows)).min(1))
+        new = new[new]
+        if (new == least).all():
+            return [(keys[i], keys[to]) for i, to in enumerate(least) if i != to]
+        least = new
+
+
+def _tiled(percent: int):
+    """Rows come sorted by list and tiles; each pair of tiles is compared once it is complete."""
+
+    def batch_of(links: list[tuple[int, int]]) -> pa.RecordBatch:
+        a, b = zip(*links) if links else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+                                          names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows = None, []
+        for batch in batches:
+            links: list[tuple[int, int]] = []
+            for pair, p, q, *row in zip(*(batch.column(c).to_pylist() for c in (
+                    "pair", "p", "q", "key", "component", "members"))):
+                if (pair, p, q) != now and rows:
+                    links += _forest(rows, percent)
+                    rows = []
+                now = (pair, p, q)
+                rows.append(row)
+            yield batch_of(links)
+        if rows:
+            yield batch_of(_forest(rows, percent))
+
+    return run
+
+
 class _Lists:
     """Posted prefixes of the classes and what comparing members of a list needs."""
 
@@ -180,48 +247,72 @@ class _Lists:
                 .mapInArrow(_confirmed(self.percent), "a long, b long"))
 
 
-def _ordered(pairs: DataFrame, one: str, two: str) -> DataFrame:
-    return (pairs.filter(f"{one} <> {two}")
-            .select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct())
+    def tile_links(self, members: DataFrame) -> DataFrame:
+        """Links within each list of ``pair, key, component``, between different components."""
+        sized = members.join(self.signatures.select("key", "n_shingles"), "key")
+        tiles = sized.groupBy("pair").agg(F.greatest(
+            F.ceil(F.count("*") / TILE), F.ceil(F.sum("n_shingles") / TILE_SHINGLES))
+            .cast("int").alias("tiles"))
+        tile = F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")
+        dealt = (members.join(tiles, "pair").withColumn("tile", tile)
+                 .withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+                 .select("pair", F.least("tile", "meets").alias("p"),
+                         F.greatest("tile", "meets").alias("q"), "key", "component"))
+        return (dealt.join(self.sets, "key").repartition("pair", "p", "q")
+                .sortWithinPartitions("pair", "p", "q", "key")
+                .mapInArrow(_tiled(self.percent), "a long, b long"))
+
+
+def _mixed(lists: DataFrame) -> DataFrame:
+    """Lists (``pair``) of more than one component, and their length."""
+    return (lists.groupBy("pair")
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                 F.count("*").alias("n")).filter("low <> high").select("pair", "n"))
+
+
+def _at_home(lists: DataFrame, homes: int) -> DataFrame:
+    """Lists whose members all had the same home in some round."""
+    same = F.lit(False)
+    for i in range(homes):
+        same = same | ((F.min(f"home{i}") == F.max(f"home{i}"))
+                       & (F.count(f"home{i}") == F.count("*")))
+    return lists.groupBy("pair").agg(same.alias("same")).filter("same").select("pair")
 
 
 def _linked(lists: _Lists) -> DataFrame:
     """``node, component`` over the classes that link with another."""
-    open_lists = lists.postings.withColumn("component", F.col("key"))
-    links = found = tried = None
-    for turn in range(ROUNDS + 1):
-        mixed = staged(open_lists.groupBy("pair")
-                 .agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                      F.min_by("key", F.xxhash64(F.lit(turn), F.col("key"))).alias("chosen"))
-                 .filter("low <> high"), f"lists-{turn}")
-        if found is not None and mixed.isEmpty():
+    links = lists.postings.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0)
+    found = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    now, homes = lists.postings.withColumn("component", F.col("key")), 0
+    for turn in range(HOMES + 2):
+        # Lists of two were compared in full by the first round.
+        mixed = _mixed(now).filter(F.col("n") > (2 if turn else 1))
+        if homes:
+            mixed = mixed.join(_at_home(now, homes), "pair", "left_anti")
+        mixed = staged(mixed, f"mixed-{turn}")
+        if mixed.isEmpty():
             break
-        if turn < ROUNDS:
-            met = (open_lists.join(mixed, "pair").join(
-                open_lists.select("pair", F.col("key").alias("chosen"),
-                                  F.col("component").alias("of_chosen")), ["pair", "chosen"])
-                .filter("component <> of_chosen"))
-            pairs = _ordered(met, "key", "chosen")
+        opened = now.join(mixed, "pair")
+        if not turn:
+            chosen = opened.groupBy("pair").agg(F.array(*[
+                F.min_by("key", F.xxhash64(F.lit(i), F.col("key"))) for i in range(CHOSEN)]).alias("some"))
+            pairs = (opened.join(chosen, "pair").select("key", F.explode("some").alias("one"))
+                     .filter("key <> one").select(F.least("key", "one").alias("a"),
+                                                  F.greatest("key", "one").alias("b")).distinct())
+            new = lists.links(staged(pairs, "pairs"))
+        elif turn <= HOMES:
+            home = staged(opened.groupBy("key").agg(F.max_by(
+                "pair", F.struct("n", "pair")).alias(f"home{homes}")), f"home-{turn}")
+            known = now.select("key", "component").distinct()
+            new = lists.tile_links(home.join(known, "key").select(
+                F.col(f"home{homes}").alias("pair"), "key", "component"))
+            now, homes = now.join(home, "key", "left"), homes + 1
         else:
-            left = open_lists.join(mixed.select("pair"), "pair")
-            sized = left.join(lists.signatures.select("key", "n_shingles"), "key")
-            other = sized.select("pair", *[F.col(c).alias(f"o_{c}")
-                                           for c in ("key", "component", "n_shingles")])
-            met = sized.join(other, "pair").filter(
-                (F.col("component") < F.col("o_component"))
-                & (100 * F.least("n_shingles", "o_n_shingles")
-                   >= lists.percent * F.greatest("n_shingles", "o_n_shingles")))
-            pairs = _ordered(met, "key", "o_key")
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = staged(pairs, f"pairs-{turn}")
-        tried = pairs if tried is None else tried.union(pairs)
-        new = staged(lists.links(pairs), f"links-{turn}")
-        links = new if links is None else links.union(new)
-        if not new.isEmpty() or found is None:
-            found = staged(graph.components(links), f"components-{turn}")
-            open_lists = (lists.postings.join(found.withColumnRenamed("node", "key"), "key", "left")
-                          .withColumn("component", F.coalesce("component", "key")))
+            new = lists.tile_links(opened.select("pair", "key", "component"))
+        links = links.union(staged(new, f"links-{turn}"))
+        found = staged(graph.components(links), f"components-{turn}")
+        now = staged(now.drop("component").join(found.withColumnRenamed("node", "key"), "key", "left")
+                     .withColumn("component", F.coalesce("component", "key")), f"lists-{turn}")
     return found
 
 
@@ -248,4 +339,4 @@ def near_duplicates(documents: DataFrame, size: int = 3, percent: int = 85,
     joined = sets.join(classed, same, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("key", "doc_id", "n_shingles", component.alias("component_id"),
-                         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+                         component.eqNullSafe(F.col("doc_id")).alias("kept"))
