@@ -3,7 +3,7 @@ import random
 import pytest
 
 from tests.llm import edge
-from wardflow.llm import neardup
+from wardflow.llm import graph, neardup
 
 
 def brute(rows, size, percent):
@@ -55,6 +55,22 @@ def test_chains_of_near_copies(spark, size, percent):
     assert found(df, size, percent) == brute(rows, size, percent)
 
 
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "FEW", few)
+    rng = random.Random(few)
+    edges = [(i, i + 1) for i in range(40)] + [(500, i) for i in range(501, 560)] + [(7, 7)]
+    edges += [(rng.randrange(1000, 1060), rng.randrange(1000, 1060)) for _ in range(40)]
+    rng.shuffle(edges)
+    root = {}
+    for a, b in edges * 60:
+        if a != b:
+            root[a] = root[b] = min(root.get(a, a), root.get(b, b))
+    df = spark.createDataFrame([(b, a) if a % 2 else (a, b) for a, b in edges], "a long, b long")
+    assert {tuple(r) for r in graph.components(df).collect()} == set(root.items())
+    assert graph.components(df.limit(0)).count() == 0
+
+
 def test_a_shared_passage_links_nothing(spark):
     shared = " ".join(f"s{i}" for i in range(40))
     rows = [(i, shared + " " + " ".join(f"{i}x{j}" for j in range(60))) for i in range(80)]
