@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.functions.vocabulary import ICD10
+from checks.expected import TERMINOLOGY
 from wardflow.operators.hl7 import Segment, hl7_build_adt
 
 # --- Fixed values: what the derived inputs and the oracles have in common. ---
 FACILITIES = ["NORTH_GENERAL", "LAKESIDE", "ST_BRIDGET", "HARBOR_REGIONAL"]
 # All labelled codes from the last to the first, one without a label, one that breaks the format.
-DIAGNOSES = [*sorted(ICD10, reverse=True), "Z99.9", "E1199"]
+DIAGNOSES = [*sorted(TERMINOLOGY["icd10"], reverse=True), "Z99.9", "E1199"]
 SECOND_DIAGNOSIS = "J96.01"
 EVENT_OF_STATUS = {"F": "A01", "O": "A02", "P": "A03"}
 CONDITIONS = [

@@ -6,9 +6,9 @@ parse fault cannot hide on both sides.
 
 from __future__ import annotations
 
+from checks import expected as v
 from checks import inputs
 from checks.queries import FACILITY
-from wardflow.functions import vocabulary as v
 
 ORACLES: dict[str, str] = {}
 
@@ -503,7 +503,7 @@ SELECT o_orderkey, code, {columns} FROM coded"""
 
 
 SYSTEM = f"""CASE WHEN code IS NULL THEN NULL WHEN {snomed_valid('code')} THEN 'snomed'
-  WHEN code IN {members(list(v.ADT_EVENTS))} THEN 'adt'
+  WHEN code IN {members(list(v.TERMINOLOGY["adt"]))} THEN 'adt'
   WHEN {icd10_valid('code')} THEN 'icd10' ELSE 'unknown' END"""
 ORACLES["snomed_description"] = codes(
     inputs.CONDITIONS, f"{described('snomed', 'code')} AS description"
