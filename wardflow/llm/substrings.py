@@ -120,11 +120,12 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, period: int = PE
     bounded_batches(spark)
     n = repeats.buckets(spark)
     docs = keyed(documents, "doc_id", "text")
-    texts = docs.select("key", "doc_id", "text")
+    # Both joins read the same columns and filter, so Spark deals the texts out once.
+    texts = docs.select("key", "doc_id", "text").filter("key IS NOT NULL")
     anchors = repeats.repeated_places(
         texts.select("key", "text").mapInArrow(_anchors(length, period, cover, n),
                                                repeats.PACKED), n)
-    near = texts.join(anchors, "key").select("key", "text", "places")
+    near = texts.join(anchors, "key").select("key", "doc_id", "text", "places")
     found = repeats.repeated_places(near.mapInArrow(_extended(length, period, n),
                                                     repeats.PACKED), n)
     return (texts.join(found, "key", "left").select("doc_id", "text", "places")
