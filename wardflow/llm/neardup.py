@@ -37,7 +37,7 @@ from wardflow.llm.substrings import _binary
 
 COORDINATES, MISSED, CHOSEN, HOMES = 32, 1e-5, 2, 2
 #: Documents of a tile, and the shingles it may hold (16 MB) if there is more than one of them.
-TILE, TILE_SHINGLES, COLUMNS = 256, 2_000_000, 4096
+TILE, TILE_SHINGLES, COLUMNS = 512, 2_000_000, 4096
 _random = np.random.default_rng(271828)
 _factor = _random.integers(0, 1 << 63, 128, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _offset = _random.integers(0, 1 << 63, 128, dtype=np.uint64)
