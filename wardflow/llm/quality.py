@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from wardflow.llm import words
-from wardflow.llm.staging import bounded_batches
+from wardflow.llm.staging import bounded_batches, staged
 from wardflow.llm.substrings import _binary
 
 #: Bounds of the sample: labelled documents, and lines of each that are learned from.
@@ -197,13 +197,16 @@ def _sampled_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             names=["quality", "features"])
 
 
-def fitted(labelled: DataFrame, sample: int = SAMPLE) -> Field:
-    """The field from ``doc_id, text, quality`` (0 or 1), by the ``sample`` least id hashes."""
-    bounded_batches(labelled.sparkSession)
-    usable = labelled.filter("quality IN (0, 1) AND doc_id IS NOT NULL")
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("quality")]
-    ids = usable.select("doc_id", "quality").orderBy(*order).limit(sample).distinct()
-    chosen = usable.join(F.broadcast(ids), ["doc_id", "quality"], "left_semi")
+def fitted(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
+    """The field from ``doc_id, text`` and ``doc_id, quality``, by the ``sample`` least id hashes.
+
+    Only ids meet the labels; the chosen ones, at most ``sample``, then find their texts.
+    """
+    bounded_batches(documents.sparkSession)
+    usable = (documents.select("doc_id").filter("doc_id IS NOT NULL")
+              .join(labels.filter("quality IN (0, 1)"), "doc_id").select("doc_id", "quality").distinct())
+    ids = staged(usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample), "sample")
+    chosen = documents.join(F.broadcast(ids), "doc_id")
     rows = (chosen.select(F.col("quality").cast("int").alias("quality"), "text")
             .mapInArrow(_sampled_features, "quality int, features binary")
             .orderBy("quality", "features").limit(2 * sample).collect())
@@ -235,7 +238,6 @@ def scored(documents: DataFrame, field: Field) -> DataFrame:
 def quality_scores(documents: DataFrame, labels: DataFrame, held_out, cut: float = 0.3) -> DataFrame:
     """``doc_id, held_out, score, predicted``; labels of held-out documents are not learned from."""
     marked = documents.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    known = labels.select("doc_id", "quality")
-    field = fitted(marked.filter("NOT held_out").join(known, "doc_id"))
+    field = fitted(marked.filter("NOT held_out"), labels.select("doc_id", "quality"))
     return (scored(marked, field).drop("text")
             .withColumn("predicted", (F.col("score") >= cut).cast("int")))
