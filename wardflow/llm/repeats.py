@@ -13,9 +13,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from wardflow.llm import words
 
 PACKED = "bucket int, kind int, hashes binary, more binary, keys binary, places binary"
+RETURNED = "bucket int, keys binary, places binary"
 FOUND = "key long, places array<int>"
 ASK, WITNESS, SETTLED = 0, 1, 2
 #: Hashes gathered before they are packed: about 50 MB with what sorting them takes.
@@ -25,7 +27,8 @@ _SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("hashes", pa
 
 
 def buckets(spark: SparkSession) -> int:
-    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Twice the shuffle partitions: even enough, and few packed rows from a small task."""
+    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _repeated(hashes: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,36 +92,61 @@ def _lists(keys: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
         names=["key", "places"])
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    asked, witnesses = [], []
-    for batch in batches:
-        settled = []
-        for _, kind, hashes, more, keys, places in zip(*(c.to_pylist() for c in batch.columns)):
-            hashes, more = np.frombuffer(hashes, np.uint64), np.frombuffer(more, np.uint32)
-            keys, places = np.frombuffer(keys, np.int64), np.frombuffer(places, np.int32)
-            if kind == ASK:
-                asked.append((hashes, more, keys, places))
-            elif kind == WITNESS:
-                witnesses.append((hashes, more))
-            else:
-                settled.append((keys, places))
+def _returned(keys: np.ndarray, places: np.ndarray, n: int) -> pa.RecordBatch:
+    """Places packed by the bucket of their key, so that each key's come together again."""
+    bucket = (words.mixed(keys.astype(np.uint64)) % np.uint64(n)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(keys) else []
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(bucket[p[0]]) for p in parts], pa.int32()),
+         pa.array([keys[p].tobytes() for p in parts], pa.binary()),
+         pa.array([places[p].tobytes() for p in parts], pa.binary())],
+        names=["bucket", "keys", "places"])
+
+
+def _settle(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, witnesses, settled, held = [], [], [], 0
+        for batch in batches:
+            for _, kind, hashes, more, keys, places in zip(*(c.to_pylist() for c in batch.columns)):
+                hashes, more = np.frombuffer(hashes, np.uint64), np.frombuffer(more, np.uint32)
+                keys, places = np.frombuffer(keys, np.int64), np.frombuffer(places, np.int32)
+                if kind == ASK:
+                    asked.append((hashes, more, keys, places))
+                elif kind == WITNESS:
+                    witnesses.append((hashes, more))
+                else:
+                    settled.append((keys, places))
+                    held += len(keys)
+            if held > GATHERED:
+                yield _returned(*(np.concatenate(x) for x in zip(*settled)), n)
+                settled, held = [], 0
+        if asked:
+            hashes, more, keys, places = (np.concatenate(x) for x in zip(*asked))
+            known = [np.concatenate(x) for x in zip(*witnesses)] if witnesses else [hashes[:0], more[:0]]
+            # A witness stands for two places at least.
+            order, same = _repeated(np.concatenate([hashes, known[0], known[0]]),
+                                    np.concatenate([more, known[1], known[1]]))
+            found = order[same[1:] | same[:-1]]
+            found = found[found < len(hashes)]
+            settled.append((keys[found], places[found]))
         if settled:
-            yield _lists(*(np.concatenate(x) for x in zip(*settled)))
-    if not asked:
-        return
-    hashes, more, keys, places = (np.concatenate(x) for x in zip(*asked))
-    known = [np.concatenate(x) for x in zip(*witnesses)] if witnesses else [hashes[:0], more[:0]]
-    # A witness stands for two places at least.
-    order, same = _repeated(np.concatenate([hashes, known[0], known[0]]),
-                            np.concatenate([more, known[1], known[1]]))
-    found = order[same[1:] | same[:-1]]
-    found = found[found < len(hashes)]
-    for at in range(0, len(found), GATHERED):
-        part = found[at:at + GATHERED]
-        yield _lists(keys[part], places[part])
+            yield _returned(*(np.concatenate(x) for x in zip(*settled)), n)
+
+    return run
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per key: all places of a key are in this task."""
+    held = [(np.frombuffer(keys, np.int64), np.frombuffer(places, np.int32))
+            for batch in batches for keys, places in zip(*(batch.column(c).to_pylist()
+                                                           for c in ("keys", "places")))]
+    if held:
+        yield _lists(*(np.concatenate(x) for x in zip(*held)))
 
 
 def repeated_places(packed: DataFrame, n: int) -> DataFrame:
     """``key, places``: all places of a row whose hash occurs elsewhere too, one row per key."""
-    dealt = packed.repartition(max(1, n // 4), "bucket").mapInArrow(_settle, FOUND)
-    return dealt.groupBy("key").agg(F.flatten(F.collect_list("places")).alias("places"))
+    tasks = max(1, n // 2)
+    back = packed.repartition(tasks, "bucket").mapInArrow(_settle(n), RETURNED)
+    return back.repartition(tasks, "bucket").mapInArrow(_gathered, FOUND)
