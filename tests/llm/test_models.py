@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tests.llm import edge
 from wardflow.llm import language, quality
 from wardflow.llm.queries import QUERIES
@@ -44,6 +45,26 @@ def test_a_tie_is_rejected():
     assert language.judged("abcdefgh", ["a", "b"], sizes) == ("a", 0.5, True)
 
 
+def test_long_texts_in_one_language_pass_the_stage(spark):
+    """Texts of 2 MB and more, of words in ever new order: the margin must not depend on the length."""
+    rng = np.random.default_rng(4)
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    texts: dict = {}
+    for r in docs.filter("lang IS NOT NULL AND text IS NOT NULL").orderBy("doc_id").collect():
+        texts.setdefault(r.lang, []).append(r.text)
+    rows = []
+    for i, (lang, own) in enumerate(sorted(texts.items())):
+        words = np.array(" ".join(own).split(), object)
+        for n, size in enumerate((2_000_000, 5_000_000)):
+            text = " ".join(rng.choice(words, size // 4))[:size]
+            rows.append((-1 - 2 * i - n, text, None, lang, len(text)))
+    long_ones = spark.createDataFrame(rows, docs.select("doc_id", "text", "lang", "source", "n_chars").schema)
+    kept = corpus_pipeline.language_id(spark, docs.unionByName(long_ones), MIDDLE)
+    assert {r.doc_id for r in kept.filter("doc_id < 0").collect()} == {r[0] for r in rows}
+    judged = language.predicted_languages(long_ones, language.learned_dictionaries(docs))
+    assert all(r.lang_pred == r.source for r in judged.collect())
+
+
 def test_quality_of_held_out_documents(spark):
     got = QUERIES["op1_quality_classifier"](spark, MIDDLE)
     labels = spark.read.parquet(f"{MIDDLE}/labels.parquet")

@@ -3,11 +3,13 @@
 For each language a raw-content zstandard dictionary is made of excerpts from a bounded sample of
 labelled documents. A text is compressed with each of them, and the language whose dictionary
 leaves the fewest bytes is chosen; a narrow margin to the next one marks the text as rejected.
+Texts are compressed whole, but in pieces of ``PIECE`` bytes of which none sees another: a long text
+would soon be its own dictionary, and the margin would shrink with its length.
 
 Defined cases: NULL text and text without a letter are ``und`` with score 0 and rejected; so are
 all texts if nothing was learned (an empty table, or no label); ties go to the first language in
 code-point order and are rejected; with one learned language the score is 1; very long texts are
-compressed whole; rows that repeat a document are predicted each; columns other than those named
+compressed to their end; rows that repeat a document are predicted each; columns other than those named
 are not read, and language, source and id never enter a prediction.
 """
 
@@ -30,6 +32,8 @@ SAMPLE, EXCERPT, DICTIONARY = 300, 600, 96_000
 LEVEL, MARGIN, SHARPNESS = 3, 0.01, 0.02
 #: Texts of at most so many bytes give few matches, and are compressed at a level that finds short ones.
 SHORT, SHORT_LEVEL = 4000, 12
+#: Bytes that are compressed at once.
+PIECE = 8192
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -62,7 +66,10 @@ def learned_dictionaries(labelled: DataFrame, sample: int = SAMPLE) -> dict[str,
 
 
 def sizes_by_language(dictionaries: dict[str, bytes]):
-    """A function from normalised bytes to compressed sizes, in the order of the dictionaries."""
+    """A function from normalised bytes to compressed sizes, in the order of the dictionaries.
+
+    The sizes are sums over the pieces, so margins are those of the pieces, however many there are.
+    """
     by: dict[int, list] = {}
     for level in (LEVEL, SHORT_LEVEL):
         for content in dictionaries.values():
@@ -74,7 +81,8 @@ def sizes_by_language(dictionaries: dict[str, bytes]):
 
     def sizes(text: bytes) -> np.ndarray:
         level = SHORT_LEVEL if len(text) <= SHORT else LEVEL
-        return np.array([len(c.compress(text)) for c in by[level]], float)
+        pieces = [text[i:i + PIECE] for i in range(0, len(text), PIECE)]
+        return np.array([sum(len(c.compress(p)) for p in pieces) for c in by[level]], float)
 
     return sizes
 
