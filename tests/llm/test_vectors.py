@@ -48,6 +48,27 @@ def test_groups_among_noise(spark, monkeypatch):
     assert got == want and max(n for _, n, _ in got) > 60
 
 
+def test_dense_groups_joined_by_one_pair(spark):
+    """The pair is the worst entry of both its lists, so no list of bounded length holds it."""
+    rng = np.random.default_rng(8)
+
+    def group(degrees, n):
+        at = np.zeros(24)
+        at[:2] = np.cos(np.radians(degrees)), np.sin(np.radians(degrees))
+        noise = rng.standard_normal((n, 24)) * 0.02
+        noise[:, :2] = 0
+        return list(at + noise)
+
+    every = group(0, 2500) + group(15, 1) + group(50, 2500) + group(35, 1) + group(120, 2500)
+    units = np.stack([v / np.sqrt(v @ v) for v in np.float64(np.float32(every))])
+    links = units @ units.T >= 0.93
+    assert links[:2501, 2501:5002].sum() == 1 and not links[:5002, 5002:].any()
+    rows = [(i, [float(np.float32(x)) for x in v], 0, 1) for i, v in enumerate(every)]
+    got = found(spark, rows)
+    assert [(i, n) for i, n, _ in sorted(got)] == [(i, int(n) - 1) for i, n in enumerate(links.sum(1))]
+    assert {(c, i >= 5002) for i, _, c in got} == {(0, False), (5002, True)}
+
+
 def test_edges(spark):
     rows = [(1, [1.0, 0.0], 0, 1), (2, [2.0, 0.0], 0, 1), (2, [2.0, 0.0], 0, 1), (3, None, 0, 1),
             (4, [0.0, 0.0], 0, 1), (5, [1.0, None], 0, 1), (6, [NAN, 1.0], 0, 1), (7, [INF, 1.0], 0, 1),

@@ -4,8 +4,9 @@ Equal vectors are one class first. The neighbour graph starts from the vectors'
 ``ORDERS`` random sign codes and is refined by joining neighbours of neighbours: each vector's
 neighbours and reverse neighbours are compared with each other, pairs that were compared before
 excepted, and each keeps the best ``NEIGHBOURS``. Edges at the threshold are confirmed in double
-precision and joined into components. Vectors whose list is full of links may have more: members
-of their components are descended again, with lists twice as long, until no components join.
+precision and joined into components. Vectors whose list is full of links may have more: all members
+of their components are compared with those of the other such components of the label, by tiles,
+where only tiles too far apart for any link, by their centres and radii, are passed over.
 Links are then counted within each component by tiles of ``TILE`` vectors, without a row per pair.
 An audit compares a bounded sample with all rows; below ``RECALL`` everything is done again with
 twice the neighbours.
@@ -34,8 +35,8 @@ THRESHOLD, NEIGHBOURS, ORDERS, ALONG, TURNS, TILE = 0.93, 12, 6, 4, 5, 2048
 SETTLED = 0.005
 #: Vectors in the audit (at most 0.5 MB each at 65,536 components) and the recall it asks for.
 AUDITED, RECALL = 256, 0.97
-#: Members of a saturated component that are descended again.
-AGAIN = 16
+#: Radians by which tiles are taken to be nearer than computed, far more than rounding adds.
+SLACK = 1e-6
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,30 +200,85 @@ def threshold_edges(lists: DataFrame, units: DataFrame, threshold: float) -> Dat
             .filter(F.col("cosine") >= threshold).select("a", "b"))
 
 
+def _balls(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Centre of a tile, and the largest angle between it and a vector of the tile."""
+    every = _matrix(pdf.unit)
+    centre = every.sum(0)
+    length = np.sqrt(centre @ centre)
+    centre = centre / length if length > SLACK else every[0]
+    radius = float(np.arccos(np.clip(every @ centre, -1, 1)).max())
+    return pd.DataFrame({"grp": pdf.grp.iloc[:1], "component": pdf.component.iloc[:1], "tile": pdf.tile.iloc[:1],
+                         "centre": [centre.tobytes()], "radius": [radius]})
+
+
+def _near_tiles(threshold: float):
+    """Pairs of tiles of different components that are near enough to hold a link."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[pdf.block == pdf.p.iloc[0]], pdf[pdf.block == pdf.q.iloc[0]]
+        if not len(left) or not len(right):
+            return pd.DataFrame({c: pd.Series([], dtype="int64") for c in ("ca", "ta", "cb", "tb")})
+        angle = np.arccos(np.clip(_matrix(left.centre) @ _matrix(right.centre).T, -1, 1))
+        reach = np.arccos(threshold) + left.radius.to_numpy()[:, None] + right.radius.to_numpy()[None, :]
+        differ = left.component.to_numpy()[:, None] != right.component.to_numpy()[None, :]
+        if pdf.p.iloc[0] == pdf.q.iloc[0]:
+            differ &= left.component.to_numpy()[:, None] < right.component.to_numpy()[None, :]
+        i, j = np.nonzero(differ & (angle <= reach + SLACK))
+        return pd.DataFrame({"ca": left.component.to_numpy()[i], "ta": left.tile.to_numpy()[i].astype("int64"),
+                             "cb": right.component.to_numpy()[j], "tb": right.tile.to_numpy()[j].astype("int64")})
+
+    return run
+
+
+def _bridge(threshold: float):
+    """The closest vectors of two tiles, if they link."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[pdf["first"]], pdf[~pdf["first"]]
+        cosines = _matrix(left.unit) @ _matrix(right.unit).T
+        i, j = np.unravel_index(cosines.argmax(), cosines.shape)
+        hit = [0] if cosines[i, j] >= threshold else []
+        return pd.DataFrame({"a": left.key.to_numpy()[[i]][hit], "b": right.key.to_numpy()[[j]][hit]})
+
+    return run
+
+
+def bridges(members: DataFrame, threshold: float) -> DataFrame:
+    """``a, b``: a link between each two components that have one, from ``component, key, grp, unit``.
+
+    Every pair of vectors is compared unless the tiles they lie in are too far apart.
+    """
+    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    tiled = staged(members.join(sizes, "component").withColumn("tile", F.pmod(
+        F.xxhash64("key"), F.col("tiles")).cast("int")).drop("tiles"), "tiled")
+    balls = staged(tiled.groupBy("component", "tile").applyInPandas(
+        _balls, "grp string, component long, tile int, centre binary, radius double"), "balls")
+    blocks = balls.groupBy("grp").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("component", "tile"), F.col("blocks")).cast("int")
+    dealt = (balls.join(blocks, "grp").withColumn("block", block)
+             .withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumn("p", F.least("block", "meets")).withColumn("q", F.greatest("block", "meets")))
+    near = staged(dealt.drop("blocks", "meets").groupBy("grp", "p", "q").applyInPandas(
+        _near_tiles(threshold), "ca long, ta long, cb long, tb long"), "near")
+    sides = [near.select("*", F.lit(first).alias("first"), F.col(f"c{x}").alias("component"),
+                         F.col(f"t{x}").cast("int").alias("tile")) for x, first in (("a", True), ("b", False))]
+    return (sides[0].unionByName(sides[1]).join(tiled.select("component", "tile", "key", "unit"), ["component", "tile"])
+            .groupBy("ca", "ta", "cb", "tb").applyInPandas(_bridge(threshold), "a long, b long"))
+
+
 def _components(units: DataFrame, neighbours: int, threshold: float) -> DataFrame:
-    """``node, component`` of all vectors with a link; saturated components are descended again."""
+    """``node, component`` of all vectors with a link; saturated components are compared in full."""
     lists = descended(units, neighbours)
     edges = staged(threshold_edges(lists, units, threshold), "edges")
     found = staged(graph.components(edges), "components")
-    full = (lists.filter(F.col("sim") >= threshold).groupBy("node").agg(F.count("*").alias("n"))
+    full = (lists.filter(F.col("sim") >= threshold - 0.001).groupBy("node").agg(F.count("*").alias("n"))
             .filter(F.col("n") >= neighbours).select("node"))
-    while True:
-        neighbours *= 2
-        saturated = found.join(full, "node", "left_semi").select("component").distinct()
-        order = Window.partitionBy("component").orderBy(F.xxhash64(F.lit(neighbours), "node"))
-        members = (found.join(saturated, "component").withColumn("n", F.row_number().over(order))
-                   .filter(F.col("n") <= AGAIN).select("node", "component"))
-        again = staged(units.join(members, F.col("key") == F.col("node"), "left_semi"), "again")
-        if again.isEmpty():
-            return found
-        own = [found.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab"]
-        new = staged(threshold_edges(descended(again, neighbours, 2), again, threshold)
-                     .join(own[0], "a").join(own[1], "b").filter("ca <> cb")
-                     .select("a", "b"), "new")
-        if new.isEmpty():
-            return found
-        edges = edges.union(new)
-        found = staged(graph.components(edges), "components")
+    saturated = found.join(full, "node", "left_semi").select("component").distinct()
+    members = found.join(saturated, "component").join(units, F.col("key") == F.col("node"))
+    new = staged(bridges(members.select("component", "key", "grp", "unit"), threshold), "bridges")
+    if new.isEmpty():
+        return found
+    return staged(graph.components(edges.union(new)), "components")
 
 
 def _tile_links(threshold: float):
