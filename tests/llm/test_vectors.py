@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from wardflow.llm import vectors
 
@@ -83,3 +84,32 @@ def test_recall_is_measured_against_all_rows(spark):
     classes = spark.createDataFrame(rows, "key long, grp string, unit binary, times long")
     links = spark.createDataFrame([(i, 3) for i in range(4)], "key long, links long")
     assert vectors.audited_recall(classes, links, 0.93) == 0.5
+
+
+def test_a_large_group_does_not_hide_missed_pairs(spark):
+    """All links of a large group are found and none of the pairs elsewhere."""
+    eye = np.eye(64)
+    rows = [(i, "g", (eye[0] + i * 1e-6 * eye[1]).tobytes(), 1) for i in range(400)]
+    rows += [(400 + i, "g", (eye[2 + i // 2] + i % 2 * 1e-6 * eye[1]).tobytes(), 1) for i in range(20)]
+    classes = spark.createDataFrame(rows, "key long, grp string, unit binary, times long")
+    links = spark.createDataFrame([(i, 399) for i in range(400)], "key long, links long")
+    assert vectors.audited_recall(classes, links, 0.93, 64) == 0.0
+
+
+def test_rare_links_are_looked_for_in_larger_samples(spark):
+    rng = np.random.default_rng(1)
+    units = rng.standard_normal((3000, 64))
+    units /= np.sqrt((units ** 2).sum(1))[:, None]
+    units[2990:] = units[:10]
+    rows = [(i, "g", u.tobytes(), 1) for i, u in enumerate(units)]
+    classes = spark.createDataFrame(rows, "key long, grp string, unit binary, times long")
+    none = spark.createDataFrame([], "key long, links long")
+    assert vectors.audit(classes, none, 0.93, 16) == {"few": (20, 0.0)}
+
+
+def test_a_recall_below_the_bar_is_reported(spark, monkeypatch):
+    tried = []
+    monkeypatch.setattr(vectors, "audited_recall", lambda *a: tried.append(a) or 0.5)
+    with pytest.warns(RuntimeWarning, match="0.5"):
+        found(spark, [(1, [1.0, 0.0], 0, 1), (2, [1.0, 0.1], 0, 1)])
+    assert len(tried) == 4

@@ -8,8 +8,10 @@ precision and joined into components. Vectors whose list is full of links may ha
 of their components are compared with those of the other such components of the label, by tiles,
 where only tiles too far apart for any link, by their centres and radii, are passed over.
 Links are then counted within each component by tiles of ``TILE`` vectors, without a row per pair.
-An audit compares a bounded sample with all rows; below ``RECALL`` everything is done again with
-twice the neighbours.
+An audit compares a sample with all rows, until enough vectors with few links and with many are held;
+where the mean share of their links that was found is below ``RECALL`` for either kind, everything is
+done again with twice the neighbours and turns. What misses the bar at the end, or was held by too few
+vectors to tell, is reported by a warning.
 
 Defined cases: vectors that are NULL, zero or hold NULL or non-finite components, and those with a
 NULL label, link with nothing; vectors of different length do not link; rows that repeat an id are
@@ -19,6 +21,7 @@ table gives no rows; columns other than the three named are not read.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +36,14 @@ from wardflow.llm.staging import bounded_batches, keyed, staged
 THRESHOLD, NEIGHBOURS, ORDERS, ALONG, TURNS, TILE = 0.93, 12, 6, 4, 5, 2048
 #: Share of changed list entries below which the graph counts as settled.
 SETTLED = 0.005
-#: Vectors in the audit (at most 0.5 MB each at 65,536 components) and the recall it asks for.
+#: Vectors in the audit's first sample (at most 0.5 MB each at 65,536 components) and the recall it asks for.
 AUDITED, RECALL = 256, 0.97
+#: Vectors of a kind that the audit wants to hold, and bytes of vectors at which its sample stops growing.
+HELD, AUDIT_BYTES = 128, 8 << 20
+#: Rows that are compared with the sample at once.
+PART = 256
+#: Growth of neighbours and turns beyond which a low recall is reported instead.
+GROWTH = 8
 #: Radians by which tiles are taken to be nearer than computed, far more than rounding adds.
 SLACK = 1e-6
 
@@ -266,9 +275,9 @@ def bridges(members: DataFrame, threshold: float) -> DataFrame:
             .groupBy("ca", "ta", "cb", "tb").applyInPandas(_bridge(threshold), "a long, b long"))
 
 
-def _components(units: DataFrame, neighbours: int, threshold: float) -> DataFrame:
+def _components(units: DataFrame, neighbours: int, threshold: float, turns: int = TURNS) -> DataFrame:
     """``node, component`` of all vectors with a link; saturated components are compared in full."""
-    lists = descended(units, neighbours)
+    lists = descended(units, neighbours, turns)
     edges = staged(threshold_edges(lists, units, threshold), "edges")
     found = staged(graph.components(edges), "components")
     full = (lists.filter(F.col("sim") >= threshold - 0.001).groupBy("node").agg(F.count("*").alias("n"))
@@ -318,30 +327,55 @@ def _audit_counts(sample: list, threshold: float):
         groups.setdefault(row.grp, []).append((row.key, bytes(row.unit)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chosen = {grp: _matrix([u for _, u in own]) for grp, own in groups.items()}
         for pdf in batches:
             for grp, rows in pdf.groupby("grp"):
                 if grp in groups:
-                    hits = (_matrix([u for _, u in groups[grp]]) @ _matrix(rows.unit).T
-                            >= threshold) @ rows.times.to_numpy()
+                    every, times = _matrix(rows.unit), rows.times.to_numpy()
+                    hits = np.zeros(len(groups[grp]), times.dtype)
+                    for i in range(0, len(every), PART):
+                        hits += (every[i:i + PART] @ chosen[grp].T >= threshold).T @ times[i:i + PART]
                     yield pd.DataFrame({"key": [k for k, _ in groups[grp]], "links": hits})
 
     return run
 
 
+def audit(classes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDITED) -> dict:
+    """``{kind: (vectors held, mean share of their links found)}``, by comparison with all rows.
+
+    Kinds are vectors with fewer links than a list has entries, and others, so that one large group
+    does not speak for all. The sample grows until both kinds hold ``HELD``, all rows are compared,
+    or it takes ``AUDIT_BYTES``.
+    """
+    rows, longest = classes.agg(F.count("*"), F.max(F.length("unit"))).first()
+    if not rows:
+        return {}
+    most = max(sample, AUDIT_BYTES // longest)
+    own = classes.select("key", "times")
+    share = F.least(F.lit(1.0), F.coalesce("links", F.lit(0)) / (F.col("true") - F.col("times")))
+    while True:
+        chosen = (classes.orderBy(F.xxhash64(F.lit(1), "key"), "key").limit(sample)
+                  .select("key", "grp", "unit").collect())
+        true = classes.select("grp", "unit", "times").mapInPandas(
+            _audit_counts(chosen, threshold), "key long, links long")
+        true = true.groupBy("key").agg((F.sum("links")).alias("true"))
+        kinds = (true.join(own, "key").join(links, "key", "left").filter(F.col("true") > F.col("times"))
+                 .groupBy(F.when(F.col("true") - F.col("times") < NEIGHBOURS, "few").otherwise("many").alias("kind"))
+                 .agg(F.count("*"), F.avg(share)).collect())
+        held = {kind: (n, mean) for kind, n, mean in kinds}
+        if sample >= min(rows, most) or all(held.get(k, (0,))[0] >= HELD for k in ("few", "many")):
+            break
+        sample = min(8 * sample, most)
+    if sample < rows and sum(n for n, _ in held.values()) < HELD:
+        warnings.warn(f"recall of near vectors is uncertain: of {sample} vectors compared with all rows, "
+                      f"{sum(n for n, _ in held.values())} have links", RuntimeWarning, stacklevel=2)
+    return held
+
+
 def audited_recall(classes: DataFrame, links: DataFrame, threshold: float,
                    sample: int = AUDITED) -> float:
-    """Share of the links of a bounded sample of vectors, found by comparison with all rows."""
-    chosen = classes.orderBy(F.xxhash64(F.lit(1), "key")).limit(sample).select("key", "grp", "unit").collect()
-    if not chosen:
-        return 1.0
-    true = classes.select("grp", "unit", "times").mapInPandas(
-        _audit_counts(chosen, threshold), "key long, links long")
-    true = true.groupBy("key").agg((F.sum("links")).alias("true"))
-    own = classes.select("key", "times")
-    held, wanted = (true.join(own, "key").join(links, "key", "left")
-                    .agg(F.sum(F.coalesce("links", F.lit(0))), F.sum(F.col("true") - F.col("times")))
-                    .first())
-    return 1.0 if not wanted else held / wanted
+    """The lowest mean share of a kind of vectors in the audit."""
+    return min((mean for _, mean in audit(classes, links, threshold, sample).values()), default=1.0)
 
 
 def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD,
@@ -353,13 +387,19 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD,
     units = staged(unit_vectors(rows), "units")
     classes = staged(units.groupBy("grp", "unit").agg(
         F.min("key").alias("key"), F.count("*").alias("times")), "classes")
+    growth = 1
     while True:
-        found = _components(classes.select("key", "grp", "unit"), neighbours, threshold)
+        found = _components(classes.select("key", "grp", "unit"), growth * neighbours, threshold, growth * TURNS)
         members = classes.join(found, F.col("key") == F.col("node"))
         links = staged(_links(members.select("component", "key", "unit", "times"), threshold), "links")
-        if audited_recall(classes, links, threshold) >= RECALL or neighbours >= 8 * NEIGHBOURS:
+        recall = audited_recall(classes, links, threshold)
+        if recall >= RECALL:
+            break
+        if growth >= GROWTH:
+            warnings.warn(f"recall of near vectors is {recall:.4f}, below {RECALL}, with lists of "
+                          f"{growth * neighbours}", RuntimeWarning, stacklevel=2)
             break
-        neighbours *= 2
+        growth *= 2
     of_class = (classes.select("grp", "unit", F.col("key").alias("rep"), "times")
                 .join(found.withColumnRenamed("node", "rep"), "rep", "left")
                 .join(links.withColumnRenamed("key", "rep"), "rep", "left")
