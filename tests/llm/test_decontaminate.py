@@ -115,3 +115,16 @@ def test_a_large_benchmark_is_shuffled(spark, monkeypatch):
     want = d.contaminated(docs, items).count()
     monkeypatch.setattr(d, "BROADCAST_WINDOWS", 0)
     assert d.contaminated(docs, items).count() == want
+
+
+def test_punctuation_at_a_slot_is_no_other_value(spark):
+    """Values that occur twice, with a full stop, a comma or quotes on one side only."""
+    lines = ["Of all the old numbers between 7 and 4 there are a few that are larger than 7",
+             "Of all the old towns near the river only the smallest was known to Anna, said Anna."]
+    items = spark.createDataFrame(list(enumerate(lines)), "item_id long, text string")
+    docs = [(0, lines[0] + "."), (1, f'He said "{lines[0]}" and left.'), (2, lines[0].replace("7", "9") + "!"),
+            (3, lines[0].replace("than 7", "than 9.")), (4, lines[1].rstrip(".") + " then"),
+            (5, lines[1].replace("Anna,", "Anna;"))]
+    got = d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items)
+    assert sorted((r.doc_id, r.item_id, r.same_values) for r in got.collect()) == [
+        (0, 0, True), (1, 0, True), (2, 0, False), (4, 1, True), (5, 1, True)]

@@ -4,7 +4,8 @@ Numbers, names and units of a text become typed placeholders, token for token, s
 asked again with other values keeps its template. Windows of ``WINDOW`` template tokens of all
 documents are hash-joined with those of the benchmark. A document holds an item if at least
 ``COVERAGE`` of the item's distinct windows occur in it and the slots agree: along the best
-alignment, equal item values must meet equal document values, and different ones different ones.
+alignment, equal item values must meet equal document values, and different ones different ones; punctuation at
+the ends of a value doesn't count.
 Items whose template and pattern of equal slots are the same form one class, listed once.
 
 Defined cases: a NULL or empty text has no tokens; an item of fewer than ``WINDOW`` tokens, or
@@ -69,10 +70,19 @@ def window_hashes(parts: Column, size: int = WINDOW) -> Column:
     return let(parts, hashed)
 
 
+def _values(raw: Column) -> Column:
+    """The tokens without punctuation at their ends, which belongs to the sentence, not to a slot.
+
+    A token of punctuation alone stays, and so does the sign before a number.
+    """
+    return F.transform(raw, lambda x: F.regexp_replace(F.regexp_replace(
+        x, r"(?<=.)[\p{P}&&[^%]]+$", ""), r"^[\p{P}&&[^\-]]+(?=.)", ""))
+
+
 def benchmark_classes(benchmark: DataFrame) -> DataFrame:
     """``item_id`` (least of its class), ``n_items``, template ``parts`` and ``raw`` tokens."""
     cut = benchmark.select("item_id", tokens(template(F.col("text"))).alias("parts"),
-                           tokens(F.col("text")).alias("raw"))
+                           _values(tokens(F.col("text"))).alias("raw"))
     slots = F.transform(F.filter(F.arrays_zip("parts", "raw"), lambda x: _is_slot(x["parts"])),
                         lambda x: x["raw"])
     pattern = let(slots, lambda every: F.transform(every, lambda s: F.array_position(every, s)))
@@ -117,7 +127,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
     found = staged(found, "found")
     texts = docs.join(found.select("key").distinct(), "key", "left_semi").select(
         "key", "doc_id", tokens(template(F.col("text"))).alias("doc_parts"),
-        tokens(F.col("text")).alias("doc_raw"))
+        _values(tokens(F.col("text"))).alias("doc_raw"))
     both = found.join(texts, "key").join(classes, "item_id")
 
     def pair(i: Column) -> Column:
