@@ -130,4 +130,67 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(c, vec_id) AS compone
 FROM embeddings LEFT JOIN degrees ON a = vec_id LEFT JOIN least ON node = vec_id
 '''
 
-ORACLES = {"op7_embedding_near_dedup": OP7, "op4_substring_dedup": OP4, "op5_minhash_near_dedup": OP5, "op9_source_mixture": OP9, "op10_url_filter": OP10}
+OP11 = r'''
+WITH RECURSIVE rows AS (
+  SELECT doc_id, source, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+         || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head, text FROM documents),
+crc AS (
+  SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+           string_split(doc_id::VARCHAR, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, s: CASE WHEN s >= 0 THEN xor(a, s) ELSE
+           xor(a >> 1, 3988292384::BIGINT * (a & 1)) END), 4294967295::BIGINT) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+hashed AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(text) || ':' || CASE WHEN crc % 5 = 0 THEN
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+           ELSE text END, '-')) AS seen
+  FROM rows LEFT JOIN crc USING (doc_id)),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+         count(*) OVER (PARTITION BY source) AS n FROM hashed),
+nodes AS (
+  SELECT source, 0 AS level, rank, leaf AS h, n FROM leaves
+  UNION ALL
+  SELECT source, level + 1, rank // 16, sha256(string_agg(h, '' ORDER BY rank)), (n + 15) // 16
+  FROM nodes WHERE n > 1 GROUP BY source, level, rank // 16, n),
+subroots AS (
+  SELECT source, level AS depth, h AS subroot,
+         row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, place AS rank, subroot AS h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, rank // 16, sha256(string_agg(h, '' ORDER BY rank)), (n + 15) // 16
+  FROM tops WHERE n > 1 GROUP BY level, rank // 16, n),
+runs AS (
+  SELECT source, level, rank // 16 AS parent, string_agg(h, '' ORDER BY rank) AS run
+  FROM nodes WHERE n > 1 GROUP BY ALL),
+top_runs AS (
+  SELECT level, rank // 16 AS parent, string_agg(h, '' ORDER BY rank) AS run
+  FROM tops WHERE n > 1 GROUP BY ALL),
+climbs AS (
+  SELECT l.doc_id, l.source, l.leaf, l.rank AS own, 0 AS level, l.rank, l.seen AS node, '' AS proof
+  FROM leaves l
+  UNION ALL
+  SELECT c.doc_id, c.source, c.leaf, c.own, c.level + 1, c.rank // 16,
+         sha256(substr(r.run, 1, 64 * (c.rank % 16)) || c.node || substr(r.run, 64 * (c.rank % 16) + 65)),
+         c.proof || substr(r.run, 1, 64 * (c.rank % 16)) || substr(r.run, 64 * (c.rank % 16) + 65)
+  FROM climbs c JOIN runs r ON c.source IS NOT DISTINCT FROM r.source AND c.level = r.level
+       AND c.rank // 16 = r.parent),
+over AS (
+  SELECT c.doc_id, c.source, c.leaf, c.own, s.subroot, 0 AS level, s.place AS rank, c.node, c.proof
+  FROM climbs c JOIN subroots s ON c.source IS NOT DISTINCT FROM s.source AND c.level = s.depth
+  UNION ALL
+  SELECT c.doc_id, c.source, c.leaf, c.own, c.subroot, c.level + 1, c.rank // 16,
+         sha256(substr(r.run, 1, 64 * (c.rank % 16)) || c.node || substr(r.run, 64 * (c.rank % 16) + 65)),
+         c.proof || substr(r.run, 1, 64 * (c.rank % 16)) || substr(r.run, 64 * (c.rank % 16) + 65)
+  FROM over c JOIN top_runs r ON c.level = r.level AND c.rank // 16 = r.parent)
+SELECT o.doc_id, o.leaf, o.subroot, t.h AS root, sha256(o.proof) AS proof_sha256,
+       o.node AS folded_root, o.node = t.h AS verified
+FROM over o JOIN tops t ON t.n = 1 AND o.level = t.level
+'''
+
+ORACLES = {"op7_embedding_near_dedup": OP7, "op4_substring_dedup": OP4, "op5_minhash_near_dedup": OP5, "op9_source_mixture": OP9, "op10_url_filter": OP10,
+           "op11_merkle_manifest": OP11}

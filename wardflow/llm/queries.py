@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm import (
-    decontaminate, language, mixture, neardup, quality, secrets, substrings, tokencounts, urls,
-    vectors)
+    decontaminate, language, merkle, mixture, neardup, quality, secrets, substrings, tokencounts,
+    urls, vectors)
 from wardflow.llm.staging import staged
 from wardflow.session import scratch_folder
 
@@ -88,6 +88,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged_urls(pages, urls.host_word_list(pages))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = merkle.verified_documents(_table(spark, sf_dir, "documents"))
+    return seen.select("doc_id", "leaf", "subroot", "root",
+                       merkle.digest(merkle.siblings(F.col("proof"))).alias("proof_sha256"),
+                       "folded_root", "verified")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_language_id, op3_benchmark_decontamination, op4_substring_dedup, op5_minhash_near_dedup,
-    op6_token_counts, op7_embedding_near_dedup, op8_secret_scan, op9_source_mixture, op10_url_filter)}
+    op6_token_counts, op7_embedding_near_dedup, op8_secret_scan, op9_source_mixture, op10_url_filter,
+    op11_merkle_manifest)}
