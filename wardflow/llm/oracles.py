@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+from wardflow.llm.licenses import CONTAINMENT, LONG, PHRASES, TEMPLATES
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in row) + ")"
+                     for row in rows)
+
+
 OP9 = r"""
 WITH sizes AS (
   SELECT doc_id, source,
@@ -192,5 +200,50 @@ SELECT o.doc_id, o.leaf, o.subroot, t.h AS root, sha256(o.proof) AS proof_sha256
 FROM over o JOIN tops t ON t.n = 1 AND o.level = t.level
 '''
 
+OP12 = rf'''
+WITH phrases(phrase, name) AS (VALUES {_values(PHRASES.items())}),
+templates(family, label, text) AS (VALUES {_values(TEMPLATES)}),
+lowered AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+cut AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM lowered),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM cut),
+places AS (
+  SELECT doc_id, i - 1 AS place, name FROM starts JOIN phrases
+  ON w[i:i + len(string_split(phrase, ' ')) - 1] = string_split(phrase, ' ')),
+base AS (
+  SELECT doc_id, count(*) AS n, min(place) AS a, max(place) AS z, list(DISTINCT name) AS names
+  FROM places GROUP BY doc_id),
+sentences AS (
+  SELECT doc_id, regexp_extract_all(
+    unnest(string_split_regex(text, '[.!?;:]+[\x20\x09-\x0D]+|\n[\x20\x09\x0D]*\n')),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered),
+blocks AS (
+  SELECT doc_id, list_distinct(unnest(CASE WHEN len(w) <= {LONG} THEN [w] ELSE
+    list_transform(range(1, len(w) + 1, {LONG // 2}), lambda i: w[i:i + {LONG - 1}]) END)) AS b
+  FROM sentences),
+numbered AS (SELECT doc_id, b, row_number() OVER () AS block FROM blocks),
+sets AS (
+  SELECT family, label, list_distinct(regexp_extract_all(translate(
+    text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t FROM templates),
+pairs AS (
+  SELECT doc_id, block, family, label, len(list_intersect(b, t)) AS shared, len(t) AS size
+  FROM numbered JOIN sets ON len(list_intersect(b, t)) >= {CONTAINMENT} * len(t)),
+ordered AS (
+  SELECT *, rank() OVER (PARTITION BY block, family ORDER BY shared / size DESC, shared DESC) AS r
+  FROM pairs),
+found AS (SELECT doc_id, list(DISTINCT label) AS names, max(shared / size) AS most
+          FROM ordered WHERE r = 1 GROUP BY doc_id)
+SELECT c.doc_id, len(c.w)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base,
+       b.a::BIGINT AS first_word, b.z::BIGINT AS last_word,
+       array_to_string(list_sort(coalesce(b.names, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(coalesce(b.names, []) || coalesce(f.names, []))), ',')
+         AS labels,
+       CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(f.most, 0)::DOUBLE END AS score
+FROM cut c LEFT JOIN base b USING (doc_id) LEFT JOIN found f USING (doc_id)
+'''
+
 ORACLES = {"op7_embedding_near_dedup": OP7, "op4_substring_dedup": OP4, "op5_minhash_near_dedup": OP5, "op9_source_mixture": OP9, "op10_url_filter": OP10,
-           "op11_merkle_manifest": OP11}
+           "op11_merkle_manifest": OP11, "op12_license_scan": OP12}

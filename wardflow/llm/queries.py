@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm import (
-    decontaminate, language, merkle, mixture, neardup, quality, secrets, substrings, tokencounts,
-    urls, vectors)
+    decontaminate, language, licenses, merkle, mixture, neardup, quality, secrets, substrings,
+    tokencounts, urls, vectors, whitening)
 from wardflow.llm.staging import staged
 from wardflow.session import scratch_folder
 
@@ -95,7 +95,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "folded_root", "verified")
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(_table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_language_id, op3_benchmark_decontamination, op4_substring_dedup, op5_minhash_near_dedup,
     op6_token_counts, op7_embedding_near_dedup, op8_secret_scan, op9_source_mixture, op10_url_filter,
-    op11_merkle_manifest)}
+    op11_merkle_manifest, op12_license_scan, op13_embedding_whitening)}
