@@ -107,6 +107,13 @@ def test_whitening_equals_dense_eigenvectors(spark):
     held(spark, rows)
 
 
+def test_many_partitions_combine(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "WORTH", 5)
+    monkeypatch.setattr(whitening, "JOINED", 3)
+    data = vectors(300, 8, 7)
+    held(spark, [(i, [float(c) for c in data[i]], 1) for i in range(300)], 5)
+
+
 def test_a_third_of_equal_vectors_and_bad_ones(spark):
     data = vectors(200, 6, 3)
     rows = [(i, [float(c) for c in (data[0] if i % 3 else data[i])], None) for i in range(200)]

@@ -213,7 +213,7 @@ def spectra(fit: DataFrame, width: int, parts: int) -> DataFrame:
 
 def combined(found: DataFrame, parts: int) -> Spectrum:
     """All spectra joined, ``JOINED`` per task and round, until one row is left."""
-    def joined(key, rows: pa.Table) -> pa.Table:
+    def joined(key, rows):
         few = sorted(rows.to_pylist(), key=lambda row: row["place"])
         whole = _unpacked(few[0])
         for row in few[1:]:
