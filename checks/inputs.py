@@ -91,8 +91,11 @@ def adt_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _bundle(*resources: Column) -> Column:
-    entries = F.array(*[F.struct(r.alias("resource")) for r in resources])
+def _bundle(*resources: Column, addresses: tuple[Column, ...] = ()) -> Column:
+    """A Bundle of resources; ``addresses`` are the full URLs of the first ones."""
+    urls = [*addresses, *[F.lit(None).cast("string")] * (len(resources) - len(addresses))]
+    entries = F.array(*[F.struct(url.alias("fullUrl"), r.alias("resource"))
+                        for url, r in zip(urls, resources)])
     return F.to_json(
         F.struct(
             F.lit("Bundle").alias("resourceType"),
@@ -138,7 +141,12 @@ def _reference(text: Column) -> Column:
 
 def _subject(order_key: Column, customer_key: Column) -> Column:
     form = F.when(order_key % 2 == 0, "urn:uuid:p").otherwise("Patient/p")
-    return _reference(F.concat(form, customer_key.cast("string")))
+    return F.concat(form, customer_key.cast("string"))
+
+
+def _address(kind: str, key: Column) -> Column:
+    """A full URL that doesn't tell the id of the resource."""
+    return F.concat(F.lit("urn:uuid:"), F.md5(F.concat(F.lit(kind), key.cast("string"))))
 
 
 def _instant(moment: Column) -> Column:
@@ -154,24 +162,36 @@ def patient_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fhir_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(value): a Bundle with the Patient per customer, one with Patient, Encounter and Condition
-    per order, one with the Procedure per order line."""
+    per order, one with the Procedure per order line.
+
+    Every third order's Bundle refers to Patient and Encounter by full URLs unlike their ids, every
+    fifth one's by an address on a server; the others refer by id."""
     customer_key, order_key = F.col("o_custkey"), F.col("o_orderkey")
     orders = table(spark, sf_dir, "orders")
     subject = _subject(order_key, customer_key)
+    server = F.lit("https://fhir.example.org/r4/")
+    by_url, by_server = order_key % 3 == 0, order_key % 5 == 0
+    patient_url = F.when(by_url, _address("p", customer_key)).when(
+        by_server, F.concat(server, F.lit("Patient/x"), customer_key.cast("string")))
+    encounter_url = F.when(by_url, _address("e", order_key)).when(
+        by_server, F.concat(server, F.lit("Encounter/x"), order_key.cast("string")))
+    in_bundle = F.when(by_url, patient_url).when(
+        by_server, F.concat(F.lit("Patient/x"), customer_key.cast("string"))).otherwise(subject)
     encounter_id = F.concat(F.lit("e"), order_key.cast("string"))
     ended = F.timestamp_add("DAY", (order_key % 9).cast("int"), F.col("o_orderdate"))
     encounter = _resource(
         "Encounter",
         id=encounter_id,
-        subject=subject,
+        subject=_reference(in_bundle),
         **{"class": F.struct(by_status(CLASS_OF_STATUS).alias("code"))},
         period=F.struct(_instant(F.col("o_orderdate")).alias("start"), _instant(ended).alias("end")),
     )
     condition = _resource(
         "Condition",
         id=F.concat(F.lit("c"), order_key.cast("string")),
-        subject=subject,
-        encounter=_reference(F.concat(F.lit("Encounter/"), encounter_id)),
+        subject=_reference(F.when(by_url, patient_url).otherwise(subject)),
+        encounter=_reference(F.when(by_url | by_server, encounter_url).otherwise(
+            F.concat(F.lit("Encounter/"), encounter_id))),
         code=_snomed(pick(CONDITIONS, order_key)),
         onsetDateTime=_instant(F.col("o_orderdate")),
     )
@@ -180,7 +200,7 @@ def fhir_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
         id=F.concat_ws("-", *[
             F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey")
         ]),
-        subject=subject,
+        subject=_reference(subject),
         encounter=_reference(F.concat(F.lit("urn:uuid:"), encounter_id)),
         code=_snomed(F.when(F.col("l_partkey") % 2 == 0, PROCEDURE_EVEN).otherwise(PROCEDURE_ODD)),
         performedDateTime=_instant(F.col("l_shipdate")),
@@ -188,7 +208,9 @@ def fhir_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").join(
         orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == order_key
     )
-    of_orders = orders.select(_bundle(_patient(customer_key), encounter, condition).alias("value"))
+    of_orders = orders.select(_bundle(
+        _patient(customer_key), encounter, condition, addresses=(patient_url, encounter_url)
+    ).alias("value"))
     of_lines = lines.select(_bundle(procedure).alias("value"))
     return patient_bundles(spark, sf_dir).unionByName(of_orders).unionByName(of_lines)
 

@@ -144,3 +144,45 @@ def test_bundle_per_file(spark, tmp_path):
         (tmp_path / f"{number}.json").write_text(text)
     entries = fhir.fhir_entries(files.fhir_bundle_scan(spark, f"{tmp_path}/*.json"))
     assert sorted(r["id"] for r in rows(entries)) == ["p0", "p1", "p2"]
+
+
+def referring(url, patient="urn:uuid:aaa", visit="urn:uuid:bbb", server=""):
+    entries = [
+        {"fullUrl": f"{server}{patient}", "resource": {"resourceType": "Patient", "id": "p1"}},
+        {"fullUrl": f"{server}{visit}", "resource": {
+            "resourceType": "Encounter", "id": "e1", "subject": {"reference": patient}}},
+        {"fullUrl": url, "resource": {
+            "resourceType": "Condition", "id": "c1", "subject": {"reference": patient},
+            "encounter": {"reference": visit}}},
+        {"resource": {"resourceType": "Procedure", "id": "r1", "subject": {"reference": patient + "x"},
+                      "encounter": {"reference": visit + "/_history/2"}}},
+    ]
+    return json.dumps({"resourceType": "Bundle", "entry": entries})
+
+
+@pytest.mark.parametrize("text, visit_of_procedure", [
+    (referring("urn:uuid:ccc"), "e1"),
+    (referring("http://h/r4/Condition/1", "Patient/9", "Encounter/8", "http://h/r4/"), "8"),
+])
+def test_references_by_full_url_name_the_entry(spark, text, visit_of_procedure):
+    loose = referring("urn:uuid:ccc").replace("p1", "p2").replace("aaa", "other")
+    entries = fhir.fhir_entries(frame(spark, text, loose.replace("urn:uuid:other", "urn:uuid:aaa", 1)))
+    conditions = rows(fhir.fhir_to_condition_occurrence(entries))
+    # In the second Bundle the Patient's address is another one, so its reference stays as it is.
+    assert [(r["person_id"], r["visit_occurrence_id"]) for r in conditions] == [("p1", "e1"), ("other", "e1")]
+    assert [r["person_id"] for r in rows(fhir.fhir_to_visit_occurrence(entries))] == ["p1", "other"]
+    first = rows(fhir.fhir_to_procedure_occurrence(entries))[0]
+    assert first["visit_occurrence_id"] == visit_of_procedure and first["person_id"] != "p1"
+
+
+def test_of_equal_addresses_the_first_counts(spark):
+    double = json.loads(referring("urn:uuid:ccc"))
+    double["entry"].insert(1, {"fullUrl": "urn:uuid:aaa", "resource": {"resourceType": "Patient", "id": "p9"}})
+    entries = fhir.fhir_entries(frame(spark, json.dumps(double)), kinds=["Condition"])
+    assert rows(fhir.fhir_to_condition_occurrence(entries))[0]["person_id"] == "p1"
+
+
+def test_bundles_are_parsed_once_and_in_place(spark):
+    entries = fhir.fhir_entries(frame(spark, referring("urn:uuid:ccc")))
+    plan = fhir.fhir_to_condition_occurrence(entries)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1 and "Exchange" not in plan

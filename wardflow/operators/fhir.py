@@ -24,6 +24,8 @@ RESOURCE_OF_TABLE = {
     "procedure_occurrence": "Procedure",
     "visit_occurrence": "Encounter",
 }
+REFERRING = ("subject", "encounter")
+REFERENCED_KINDS = ("Patient", "Encounter")
 # --- End of fixed values. ---
 
 
@@ -67,14 +69,60 @@ def fhir_entries(
     """One row per Bundle entry, with the fields of the resource kinds asked for.
 
     Other kinds are left out. Text that is no Bundle has no entries; ``fhir_parse_errors`` lists it.
+    References to an entry of the same Bundle by its ``fullUrl`` become ``Kind/id`` of that entry.
+    This happens within the row: only entries whose id is not already the end of their address are
+    kept as targets, and of those only the kinds that are referenced. Of several entries with one
+    address the first counts; a reference without such an entry stays as it is.
     """
     kinds = list(kinds or RESOURCE_FIELDS)
-    bundle = _struct(entry=ArrayType(_struct(resource=resource_schema(kinds))))
-    return (
-        bundles.select(F.explode(F.from_json(F.col(col), bundle)["entry"]).alias("entry"))
-        .select("entry.resource.*")
-        .where(F.col("resourceType").isin(kinds))
-    )
+    schema = resource_schema(kinds)
+    bundle = _struct(entry=ArrayType(_struct(fullUrl=_TEXT, resource=schema)))
+    def beside_targets(entries: Column) -> Column:
+        return _let(_targets(entries), lambda targets: F.transform(entries, lambda entry: F.struct(
+            entry["fullUrl"].alias("url"), entry["resource"].alias("resource"),
+            targets.alias("targets"))))
+
+    parsed = F.from_json(F.col(col), bundle)["entry"]
+    each = bundles.select(F.explode(_let(parsed, beside_targets)).alias("entry")).where(
+        F.col("entry.resource.resourceType").isin(kinds))
+    return each.select(*[
+        _resolved(F.col(f"entry.resource.{name}"), F.col("entry.url"), F.col("entry.targets")).alias(name)
+        if name in REFERRING else F.col(f"entry.resource.{name}") for name in schema.names
+    ])
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value computed once per row; a column that a lambda reads would be inlined."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _targets(entries: Column) -> Column:
+    """Address and ``Kind/id`` of the entries whose id can't be told from their address."""
+    def named(entry: Column) -> Column:
+        resource = entry["resource"]
+        return F.struct(entry["fullUrl"].alias("url"), F.concat(
+            resource["resourceType"], F.lit("/"), resource["id"]).alias("name"))
+
+    def wanted(entry: Column) -> Column:
+        resource = entry["resource"]
+        return resource["resourceType"].isin(*REFERENCED_KINDS) & (
+            _referenced_id(entry["fullUrl"]) != resource["id"])
+
+    return F.coalesce(F.transform(F.filter(entries, wanted), named),
+                      F.array().cast("array<struct<url:string,name:string>>"))
+
+
+def _resolved(reference: Column, referring: Column, targets: Column) -> Column:
+    """A reference struct whose text is ``Kind/id`` where the Bundle has an entry of that address.
+
+    A relative reference is completed by the address of the entry that holds it.
+    """
+    text = F.substring_index(reference["reference"], "/_history/", 1)
+    base = F.regexp_extract(referring, "^(https?://.*/)[^/]+/[^/]+$", 1)
+    whole = F.when(text.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), text).otherwise(F.concat(base, text))
+    found = F.get(F.filter(targets, lambda target: target["url"] == whole), F.lit(0))["name"]
+    return F.when((F.size(targets) > 0) & found.isNotNull(), F.struct(found.alias("reference"))
+                  ).otherwise(reference)
 
 
 def fhir_parse_errors(bundles: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
