@@ -165,9 +165,11 @@ def _plain(spark, sf_dir, name: str, texts: DataFrame) -> str:
 
 @query
 def hl7_file_scan_plain(spark, sf_dir):
-    messages = inputs.adt_messages(spark, sf_dir).where(F.col("o_orderkey") % 97 != 0)
+    """All messages; text that is none is a line of the message before it, or a row without id."""
+    messages = inputs.adt_messages(spark, sf_dir)
     scanned = files.hl7_file_scan(spark, _plain(spark, sf_dir, "plain-messages", messages))
-    return scanned.select(hl7.hl7_field(F.col("value"), "MSH", 10).alias("message_id"))
+    ids = scanned.select(hl7.hl7_field(F.col("value"), "MSH", 10).alias("message_id"))
+    return ids.where("message_id <> ''")
 
 
 @query

@@ -266,3 +266,69 @@ def test_upsert_of_null_keys_and_null_marks(spark, database, tmp_path):
     for turn in range(2):
         merged = jdbc.incremental_upsert(source, target, "k", "at", f"{tmp_path}/v{turn}")
         assert sorted((tuple(r)[::2] for r in merged.collect()), key=repr) == [(1, 1), (2, 4), (None, 3)]
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def split(df):
+    """Number of tasks that read the one file."""
+    return df.rdd.getNumPartitions()
+
+
+@pytest.mark.parametrize("end", ["\r", "\n", "\r\n", "mixed"])
+def test_plain_messages_are_split(spark, tmp_path, small_splits, end):
+    ends = [end if end != "mixed" else ("\r", "\n", "\r\n")[i % 3] for i in range(3000)]
+    texts = [f"MSH|^~\\&|MSH|B|||{i}||ADT^A01{e}OBX|1|MSHX|é{i}" for i, e in enumerate(ends)]
+    texts[7] = texts[7].replace("|", "#")
+    (tmp_path / "all.hl7").write_bytes("".join(t + e for t, e in zip(texts, ends)).encode())
+    scan = files.hl7_file_scan(spark, str(tmp_path))
+    assert split(scan) > 4
+    assert sorted(r.value.strip() for r in scan.collect()) == sorted(texts)
+
+
+def test_plain_documents_are_split(spark, tmp_path, small_splits):
+    def root(n):
+        inner = f"<x>{n}</x>" + "<y>more</y>" * (n % 40)
+        return (f'<Doc id="{n}">{inner}</Doc >' if n % 97 == 5 else f'<Doc id="{n}"/>' if n % 97 == 6
+                else f'<Doc\nid="{n}">\n{inner}\n</Doc>')
+
+    between = ["\n", "", "\n<?xml version='1.0'?>\n<!-- <z> -->\n", " "]
+    text = "<?xml version='1.0'?>" + "".join(root(n) + between[n % 4] for n in range(1500))
+    (tmp_path / "a.xml").write_text(text)
+    (tmp_path / "cut.xml").write_text(root(1500) + root(1501)[:-9])
+    scan = files.xml_file_texts(spark, str(tmp_path), "Doc")
+    assert split(scan) > 4
+    found = sorted(r.value for r in scan.collect())
+    assert found == sorted([root(n) for n in range(1501)] + [root(1501)[:-9] + "</Doc>"])
+    whole = files.xml_texts(spark.read.text(f"{tmp_path}/a.xml", wholetext=True), "Doc")
+    assert sorted(r.value for r in whole.collect()) == sorted(root(n) for n in range(1500))
+
+
+def test_cut_off_documents_are_told(spark, tmp_path):
+    one = "<Doc><x>é</x><y/></Doc>"
+    for name, text in {"whole": one * 3 + "\n", "bare": one, "cut": one + one[:-6], "none": "x",
+                       "blank": "\n"}.items():
+        (tmp_path / name).write_text(text)
+    told = files.cut_off_files(spark, str(tmp_path), "Doc").collect()
+    assert [r.path.rsplit("/", 1)[1] for r in told] == ["cut"]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n\n  ", " \n"])
+def test_plain_bundles_are_split(spark, tmp_path, small_splits, end):
+    def bundle(n):
+        texts = ['{"a": {"b": "}"}', f'"n": {n}', '"entry": [\n{"c": "{é"},\n{"d": 1}\n]', '"e": {}']
+        return ",\n".join(texts[: 2 + n % 3]) + ("}" if n % 2 else "\n}")
+
+    (tmp_path / "a.json").write_bytes(("﻿" * 0 + end.join(map(bundle, range(1000)))).encode())
+    (tmp_path / "b.json").write_bytes((end + bundle(1000) + end).encode())
+    (tmp_path / "cut.json").write_text('{"n": 1001, "entry": [')
+    scan = files.fhir_bundle_scan(spark, str(tmp_path))
+    if end in ("\n", "\r\n"):
+        assert split(scan) > 4
+    found = sorted(r.value.strip() for r in scan.collect())
+    assert found == sorted([*map(bundle, range(1001)), '{"n": 1001, "entry": ['])

@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from wardflow.operators.hl7 import hl7_parse_adt
-from wardflow.sources.files import hl7_text_options, provenance_columns, unframed
+from wardflow.sources.files import (
+    LINE_ENDS,
+    MESSAGE_START,
+    hl7_text_options,
+    provenance_columns,
+    separator_in_use,
+    unframed,
+)
 from wardflow.sources.tables import create_database_of
 
 
@@ -17,10 +24,12 @@ def stream_hl7_source(
 ) -> DataFrame:
     """Messages of newly landed files, at most ``max_files`` files per batch.
 
-    With one message per file raise ``max_files`` to what a batch can hold, or let messages be
-    landed in framed files and pass ``framed``.
+    Large files are split between messages, by the line end of what has landed when the stream
+    starts. With one message per file raise ``max_files`` to what a batch can hold, or let messages
+    be landed in framed files and pass ``framed``.
     """
-    reader = hl7_text_options(spark.readStream, framed).option("maxFilesPerTrigger", max_files)
+    end = LINE_ENDS[0] if framed else separator_in_use(spark, path, MESSAGE_START, LINE_ENDS)
+    reader = hl7_text_options(spark.readStream, framed, end).option("maxFilesPerTrigger", max_files)
     return unframed(reader.load(path), framed)
 
 
