@@ -13,7 +13,7 @@ from wardflow.operators import ccda, fhir, hl7
 from wardflow.operators.terminology import terminology_enrich
 from wardflow.plans import admissions, inventory, medications, omop
 from wardflow.plans.common import optional_facility_filter
-from wardflow.sources import files, jdbc
+from wardflow.sources import buckets, files, jdbc
 from wardflow.sources import tables as sinks
 from wardflow.streaming import hl7_stream
 
@@ -95,7 +95,8 @@ def incremental_upsert(spark, sf_dir):
         "o_orderdate", F.col("o_orderdate").cast("timestamp")
     )
     early = F.year("o_orderdate") < 1999
-    sinks.table_overwrite_sink(orders.where(early), target)
+    place = tables.new_path(spark, sf_dir, "orders")
+    buckets.create_bucketed(orders.where(early), target, "o_orderkey", "o_orderdate", place, buckets=16)
     url, driver = tables.external_table(spark, sf_dir, "orders_changed")
     source = jdbc.jdbc_partitioned_scan(spark, url, driver, "orders_changed", "o_orderkey")
     place = tables.new_path(spark, sf_dir, "upsert")
