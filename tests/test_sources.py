@@ -332,3 +332,59 @@ def test_plain_bundles_are_split(spark, tmp_path, small_splits, end):
         assert split(scan) > 4
     found = sorted(r.value.strip() for r in scan.collect())
     assert found == sorted([*map(bundle, range(1001)), '{"n": 1001, "entry": ['])
+
+
+def folders(spark, table):
+    return {f.rsplit("/", 1)[0] for f in spark.table(table).inputFiles()}
+
+
+def test_same_columns_are_replaced_by_one_catalog_change(spark, database, monkeypatch):
+    target = f"{database}.pointed"
+    tables.table_overwrite_sink(spark.range(5), target)
+    monkeypatch.setattr(tables, "_rename", None)
+    reader = spark.table(target)
+    seen = [folders(spark, target)]
+    for n in (6, 7, 8):
+        tables.table_overwrite_sink(spark.range(n), target)
+        assert spark.table(target).count() == n
+        seen.append(folders(spark, target))
+    assert len(set(map(frozenset, seen))) == 4
+
+    def failing(*arguments):
+        raise RuntimeError("no")
+
+    monkeypatch.setattr(tables, "_relocate", failing)
+    with pytest.raises(RuntimeError):
+        tables.table_overwrite_sink(spark.range(9), target)
+    assert spark.table(target).count() == 8 and reader.columns == ["id"]
+
+
+def test_running_readers_keep_their_files_for_a_replacement(spark, database):
+    target = f"{database}.read"
+    tables.table_overwrite_sink(spark.range(5), target)
+    files_of = spark.table(target).inputFiles()
+    tables.table_overwrite_sink(spark.range(6), target)
+    assert spark.read.parquet(*files_of).count() == 5
+    tables.table_overwrite_sink(spark.range(7), target)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(*files_of).count()
+    spark.sql(f"DROP TABLE {target}")
+    tables.table_overwrite_sink(spark.range(4), target)
+    assert spark.table(target).count() == 4
+
+
+def test_a_failing_rename_gives_the_name_back(spark, database, monkeypatch):
+    target = f"{database}.renamed"
+    tables.table_overwrite_sink(spark.range(5), target)
+    rename = tables._rename
+
+    def failing(session, table, name):
+        if "_next_" in table:
+            raise RuntimeError("no")
+        rename(session, table, name)
+
+    monkeypatch.setattr(tables, "_rename", failing)
+    with pytest.raises(RuntimeError):
+        tables.table_overwrite_sink(spark.range(3).withColumn("x", F.lit(1)), target)
+    assert spark.table(target).count() == 5 and spark.table(target).columns == ["id"]
+    assert [t.name for t in spark.catalog.listTables(database)] == ["renamed"]

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardflow.functions.vocabulary import sql_text
+
 
 def create_database_of(spark: SparkSession, table: str) -> None:
     """Create the database in a qualified table name, if it is not there."""
@@ -16,28 +18,94 @@ def create_database_of(spark: SparkSession, table: str) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
+#: Table properties: the folder that a replacement made, and the one that the last one retired.
+MADE, RETIRED = "wardflow.made", "wardflow.retired"
+
+
 def table_overwrite_sink(df: DataFrame, table: str) -> None:
     """Replace a managed table in full.
 
-    The rows are written to a new table first; only when that is complete the old one is dropped
-    and the new one takes its name. A load that fails leaves the old table as it was, and ``df``
-    may read the table that it replaces.
+    The rows are written to a new folder first, so a load that fails leaves the table as it was, and
+    ``df`` may read the table that it replaces. A table with the same columns is then pointed at
+    the new folder: one catalog change, without a moment in which it is missing. Running readers
+    keep the old files until the next replacement. A table with other columns has to change its
+    definition: it gives its name to a new table, and gets it back if that fails.
     """
     spark = df.sparkSession
     create_database_of(spark, table)
     *database, name = table.replace("`", "").split(".")
-    new = ".".join(f"`{part}`" for part in [*database, f"{name}_next_{uuid.uuid4().hex}"])
     old = ".".join(f"`{part}`" for part in [*database, name])
+    if _same_columns(spark, old, df):
+        _pointed(df, old)
+        return
+    token = uuid.uuid4().hex
+    new, aside = (".".join(f"`{part}`" for part in [*database, f"{name}_{step}_{token}"])
+                  for step in ("next", "before"))
     try:
         df.write.format("parquet").saveAsTable(new)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {new}")
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {old}")
+    replaces = spark.catalog.tableExists(old)
+    if replaces:
+        _rename(spark, old, aside)
+    try:
+        _rename(spark, new, old)
+    except Exception:
+        if replaces:
+            _rename(spark, aside, old)
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
     spark.catalog.refreshTable(old)
 
 
+def _rename(spark: SparkSession, table: str, name: str) -> None:
+    spark.sql(f"ALTER TABLE {table} RENAME TO {name}")
+
+
+def _detail(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"]
+            for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect() if r["col_name"]}
+
+
+def _same_columns(spark: SparkSession, table: str, df: DataFrame) -> bool:
+    """Whether there is an unpartitioned parquet table with the columns of ``df``."""
+    if not spark.catalog.tableExists(table):
+        return False
+    detail = _detail(spark, table)
+    plain = detail.get("Provider") == "parquet" and "# Partition Information" not in detail
+    return plain and detail.get("Type") == "MANAGED" and spark.table(table).dtypes == df.dtypes
+
+
+def _pointed(df: DataFrame, table: str) -> None:
+    spark = df.sparkSession
+    now = _detail(spark, table)["Location"].rstrip("/")
+    folder, name = now.rsplit("/", 1)
+    place = f"{folder}/{name.split('__')[0]}__{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(place)
+    except Exception:
+        _delete(spark, place)
+        raise
+    _relocate(spark, table, place)
+    spark.catalog.refreshTable(table)
+    held = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES "
+              f"('{MADE}' = {sql_text(place)}, '{RETIRED}' = {sql_text(held.get(MADE, now))})")
+    if RETIRED in held:
+        _delete(spark, held[RETIRED])
+
+
+def _relocate(spark: SparkSession, table: str, place: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {sql_text(place)}")
+
+
+def _delete(spark: SparkSession, place: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ctas_replace(spark: SparkSession, table: str, query: str | DataFrame) -> DataFrame:
     """Build a table from a query, replacing it; returns the table."""
     df = spark.sql(query) if isinstance(query, str) else query
