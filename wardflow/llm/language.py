@@ -25,13 +25,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from wardflow.llm.staging import bounded_batches
+from wardflow.llm.staging import bounded_batches, frugal
 
 #: Bounds of the sample: documents per language, characters of each, bytes of a dictionary.
 SAMPLE, EXCERPT, DICTIONARY = 300, 600, 96_000
-LEVEL, MARGIN, SHARPNESS = 3, 0.01, 0.02
-#: Texts of at most so many bytes give few matches, and are compressed at a level that finds short ones.
-SHORT, SHORT_LEVEL = 4000, 12
+#: The level is one that finds short matches, which is all that short texts have.
+LEVEL, MARGIN, SHARPNESS = 12, 0.01, 0.02
 #: Bytes that are compressed at once.
 PIECE = 8192
 _NO_LETTERS = re.compile(r"[\W\d_]+")
@@ -46,8 +45,9 @@ def learned_dictionaries(labelled: DataFrame, sample: int = SAMPLE) -> dict[str,
     """Dictionary content per language from ``doc_id, text, lang``.
 
     Only ids are ranked, each task keeps ``sample`` per language, and the chosen ids (that many
-    times the number of languages) find their texts again. An excerpt starts at a place that
-    depends on the id, so that common opening lines do not fill the dictionary.
+    times the number of languages) find their texts again, one per id. An excerpt starts at a place
+    that depends on the id, so that common opening lines do not fill the dictionary. Samples of
+    under 8 bytes are repeated up to that, the least that a dictionary may have.
     """
     usable = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -56,13 +56,14 @@ def learned_dictionaries(labelled: DataFrame, sample: int = SAMPLE) -> dict[str,
     start = F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.greatest(F.lit(1), F.length("text") - EXCERPT))
     rows = (usable.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
             .select("lang", "doc_id", F.substr("text", start.cast("int") + 1, F.lit(EXCERPT)).alias("text"))
-            .collect())
+            .groupBy("lang", "doc_id").agg(F.min("text").alias("text")).collect())
     content: dict[str, bytearray] = {}
     for row in sorted(rows, key=lambda r: (r.lang, r.doc_id is None, r.doc_id, r.text)):
         held = content.setdefault(row.lang, bytearray())
         if len(held) < DICTIONARY:
             held += normalised(row.text) + b" "
-    return {k: bytes(v[:DICTIONARY]) for k, v in sorted(content.items()) if len(v) >= 8}
+    return {k: bytes((v * (1 + 8 // len(v)))[:DICTIONARY] if len(v) < 8 else v[:DICTIONARY])
+            for k, v in sorted(content.items())}
 
 
 def sizes_by_language(dictionaries: dict[str, bytes]):
@@ -70,19 +71,17 @@ def sizes_by_language(dictionaries: dict[str, bytes]):
 
     The sizes are sums over the pieces, so margins are those of the pieces, however many there are.
     """
-    by: dict[int, list] = {}
-    for level in (LEVEL, SHORT_LEVEL):
-        for content in dictionaries.values():
-            data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            data.precompute_compress(level=level)
-            by.setdefault(level, []).append(zstandard.ZstdCompressor(
-                level=level, dict_data=data, write_content_size=False, write_checksum=False,
-                write_dict_id=False))
+    compressors = []
+    for content in dictionaries.values():
+        data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        data.precompute_compress(level=LEVEL)
+        compressors.append(zstandard.ZstdCompressor(
+            level=LEVEL, dict_data=data, write_content_size=False, write_checksum=False,
+            write_dict_id=False))
 
     def sizes(text: bytes) -> np.ndarray:
-        level = SHORT_LEVEL if len(text) <= SHORT else LEVEL
         pieces = [text[i:i + PIECE] for i in range(0, len(text), PIECE)]
-        return np.array([sum(len(c.compress(p)) for p in pieces) for c in by[level]], float)
+        return np.array([sum(len(c.compress(p)) for p in pieces) for c in compressors], float)
 
     return sizes
 
@@ -106,7 +105,7 @@ def predicted_languages(documents: DataFrame, dictionaries: dict[str, bytes]) ->
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType()),
              StructField("rejected", BooleanType())]
     documents = documents.drop(*[f.name for f in added])
-    bounded_batches(documents.sparkSession)
+    bounded_batches(documents.sparkSession, 8)
     names = list(dictionaries)
     schema = StructType([*documents.schema.fields, *added])
 
@@ -120,7 +119,7 @@ def predicted_languages(documents: DataFrame, dictionaries: dict[str, bytes]) ->
                  pa.array(rejected, pa.bool_())],
                 names=[*batch.schema.names, "lang_pred", "score", "rejected"])
 
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(frugal(run), schema)
 
 
 def identified(documents: DataFrame, held_out) -> DataFrame:

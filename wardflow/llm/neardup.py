@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.llm import graph, words
-from wardflow.llm.staging import bounded_batches, keyed, staged
+from wardflow.llm.staging import bounded_batches, frugal, keyed, staged
 from wardflow.llm.substrings import _binary
 
 COORDINATES, MISSED, CHOSEN, HOMES = 32, 1e-5, 2, 2
@@ -230,7 +230,7 @@ class _Lists:
         self.signatures = staged(classes.join(wanted, "key").select(
             "key", "n_shingles", "signature"), "signatures")
         self.sets = staged(docs.join(wanted, "key", "left_semi").select("key", "text").mapInArrow(
-            _set_rows(size), "key long, members binary"), "sets")
+            frugal(_set_rows(size)), "key long, members binary"), "sets")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs that have enough collisions and are similar enough in full."""
@@ -244,7 +244,7 @@ class _Lists:
         members = [self.sets.select(F.col("key").alias(x), F.col("members").alias(f"of_{x}"))
                    for x in "ab"]
         return (alike.join(members[0], "a").join(members[1], "b")
-                .mapInArrow(_confirmed(self.percent), "a long, b long"))
+                .mapInArrow(frugal(_confirmed(self.percent)), "a long, b long"))
 
 
     def tile_links(self, members: DataFrame) -> DataFrame:
@@ -260,7 +260,7 @@ class _Lists:
                          F.greatest("tile", "meets").alias("q"), "key", "component"))
         return (dealt.join(self.sets, "key").repartition("pair", "p", "q")
                 .sortWithinPartitions("pair", "p", "q", "key")
-                .mapInArrow(_tiled(self.percent), "a long, b long"))
+                .mapInArrow(frugal(_tiled(self.percent)), "a long, b long"))
 
 
 def _mixed(lists: DataFrame) -> DataFrame:
@@ -323,10 +323,10 @@ def near_duplicates(documents: DataFrame, size: int = 3, percent: int = 85,
     Links are pairs of sets with ``100 * intersection >= percent * union``.
     """
     spark = documents.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, 8)
     docs = keyed(documents, "doc_id", "text")
     sets = staged(docs.select("key", "doc_id", "text").mapInArrow(
-        _signed(size, coordinates), SETS), "sets")
+        frugal(_signed(size, coordinates)), SETS), "sets")
     same = ["one", "two", "n_shingles"]
     classes = staged(sets.filter("n_shingles > 0").groupBy(*same).agg(
         F.min("key").alias("key"), F.min("doc_id").alias("least"),

@@ -3,9 +3,11 @@
 Known credentials are read as sequences of character classes. A prefix tree of each kind is folded
 into a probabilistic automaton by merging states whose outgoing frequencies do not differ
 significantly (Hoeffding bound), as far as all their successors agree. Another automaton is inferred
-from ordinary long tokens. Every candidate token of a text is then scored by how much likelier the
-format of some kind of credential makes it, per character; clear cases are added to the spans of
-the fixed patterns, which always stay.
+from ordinary tokens. Every token of ``SHORTEST`` or more characters, with digits or without, is
+then scored by how much likelier the format of some kind of credential makes it, per character;
+clear cases are added to the spans of the fixed patterns, which always stay. A token of under
+``FULL`` characters has to be as clear as a whole as one of that length, so that the bar per
+character rises as tokens get shorter.
 
 Defined cases: NULL text is empty text without spans; spans are in code points; a document whose
 text repeats is scanned each time; without any known credential no span is added; very long tokens
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from wardflow.llm.staging import bounded_batches, staged
+from wardflow.llm.staging import bounded_batches, frugal, staged
 
 #: Fixed patterns of the contract.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -33,13 +35,16 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS, HEX = re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]{32,}")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "inferred")
-CANDIDATE = re.compile("[A-Za-z0-9+/_.=-]{16,}")
+SHORTEST, FULL = 8, 16
+CANDIDATE = re.compile("[A-Za-z0-9+/_.=-]{%d,}" % SHORTEST)
 #: What the JVM looks for to find documents to learn from: a superset of those with a span.
 HINT = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"""
 #: Bounds of the sample: documents with a hint, ordinary ones, and tokens of either sort.
 SAMPLE, TOKENS = 2000, 4000
 #: Confidence of the merge test; nats per character by which a format must be likelier.
 ALPHA, LIKELIER = 0.5, 0.8
+#: Scores that a worker keeps (some megabytes); others are computed again.
+SHAPES = 50_000
 
 
 def _classes() -> tuple[dict[str, str], dict[str, int]]:
@@ -152,41 +157,58 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+SORTS = 3
+
+
+def sort_of(token: str) -> int:
+    """0 without a digit, 1 without a letter, 2 with both: words would outnumber the others."""
+    return 2 if re.search("[0-9]", token) and re.search("[A-Za-z]", token) else int(
+        not re.search("[A-Za-z]", token))
+
+
 class Formats:
-    """An automaton per kind of credential and one of ordinary tokens."""
+    """An automaton per kind of credential, and one per sort of ordinary tokens (see ``sort_of``)."""
 
     def __init__(self, secret: dict[int, list[str]], ordinary: list[str]) -> None:
         self.secret = [Automaton([x.translate(_TABLE) for x in some])
                        for _, some in sorted(secret.items()) if some]
+        self._scores: dict[str, float] = {}
         # Ordinary tokens hold unknown credentials too: each half leaves out what the other half's
-        # automaton finds likelier to be one.
+        # automata find likelier to be one.
         left = []
         for half in (0, 1):
-            self.ordinary = self._ordinary(ordinary[half::2])
-            left += [x for x in ordinary[1 - half::2] if self.likelier(x) <= LIKELIER]
-        self.ordinary = self._ordinary(left)
+            self.ordinary, self._scores = self._sorted(ordinary[half::2]), {}
+            left += [x for x in ordinary[1 - half::2] if not self.found(x)]
+        self.ordinary, self._scores = self._sorted(left), {}
 
     @staticmethod
-    def _ordinary(tokens: list[str]) -> Automaton:
-        return Automaton([x.translate(_TABLE) for x in tokens or ["d"]])
+    def _sorted(tokens: list[str]) -> list[Automaton]:
+        sorts = [[x for x in tokens if sort_of(x) == sort] for sort in range(SORTS)]
+        return [Automaton([x.translate(_TABLE) for x in some]) for some in sorts if some] or [
+            Automaton(["d"])]
 
     def likelier(self, token: str) -> float:
-        """Nats per character by which the likeliest format is likelier than an ordinary one."""
+        """Nats per character by which the likeliest format is likelier than an ordinary token.
+
+        It depends on the token's classes only, of which words of one length share a sequence.
+        """
         shape = token.translate(_TABLE)
-        best = max((a.log_likelihood(shape) for a in self.secret), default=-math.inf)
-        return (best - self.ordinary.log_likelihood(shape)) / len(token)
+        known = self._scores.get(shape)
+        if known is None:
+            best = max((a.log_likelihood(shape) for a in self.secret), default=-math.inf)
+            usual = max(a.log_likelihood(shape) for a in self.ordinary)
+            known = (best - usual) / len(token)
+            if len(self._scores) < SHAPES:
+                self._scores[shape] = known
+        return known
+
+    def found(self, token: str) -> bool:
+        return self.likelier(token) * min(1.0, len(token) / FULL) > LIKELIER
 
     def spans(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """Further spans, none of which touches a fixed one. A credential mixes digits and letters."""
-        found = []
-        for m in CANDIDATE.finditer(text):
-            token = m[0]
-            if not any(c.isdigit() for c in token) or token.replace(".", "").isdigit():
-                continue
-            if not any(s < m.end() and m.start() < e for s, _, e in base):
-                if self.likelier(token) > LIKELIER:
-                    found.append((m.start(), 3, m.end()))
-        return found
+        """Further spans, none of which touches a fixed one."""
+        return [(m.start(), 3, m.end()) for m in CANDIDATE.finditer(text)
+                if self.found(m[0]) and not any(s < m.end() and m.start() < e for s, _, e in base)]
 
 
 def _training_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +220,7 @@ def _training_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             for start, kind, end in base:
                 part = text[start:end]
                 rows.append((kind, ASSIGN.fullmatch(part)[2] if kind == 0 else part))
-            rows += [(3, m[0]) for m in CANDIDATE.finditer(text)
+            rows += [(3 + sort_of(m[0]), m[0]) for m in CANDIDATE.finditer(text)
                      if not any(s < m.end() and m.start() < e for s, _, e in base)]
         kind, token = zip(*rows) if rows else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(token, pa.string())],
@@ -208,23 +230,25 @@ def _training_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def learned_formats(documents: DataFrame, sample: int = SAMPLE, tokens: int = TOKENS) -> Formats:
     """Automata from the ``sample`` hinted and as many other documents of least id hash.
 
-    Ids are chosen first, so only the chosen texts move; at most ``tokens`` distinct tokens of
-    each kind, of at most 128 characters, come to the driver.
+    One scan notes which documents are hinted, and the ids are chosen from that, so only the chosen
+    texts move; at most ``tokens`` distinct tokens of each kind and sort, of at most 128 characters,
+    come to the driver.
     """
-    bounded_batches(documents.sparkSession)
-    usable = documents.filter("text IS NOT NULL").select(
-        "doc_id", "text", F.col("text").rlike(HINT).alias("hinted"))
-    ids = usable.select("doc_id", "hinted")
+    bounded_batches(documents.sparkSession, 8)
+    usable = documents.filter("text IS NOT NULL")
+    ids = staged(usable.select("doc_id", F.col("text").rlike(HINT).alias("hinted")), "hints")
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = (ids.filter("hinted").orderBy(*order).limit(sample)
-              .union(ids.filter("NOT hinted").orderBy(*order).limit(sample))).select("doc_id").distinct()
+    chosen = staged(ids.filter("hinted").orderBy(*order).limit(sample)
+                    .union(ids.filter("NOT hinted").orderBy(*order).limit(sample))
+                    .select("doc_id").distinct(), "chosen")
     found = staged(usable.join(F.broadcast(chosen), "doc_id", "left_semi").select("text")
-             .mapInArrow(_training_tokens, "kind int, token string")
-             .filter(F.length("token") <= 128).distinct(), "tokens")
+                   .mapInArrow(frugal(_training_tokens), "kind int, token string")
+                   .filter(F.length("token") <= 128).distinct(), "tokens")
     rows = {kind: [r.token for r in found.filter(F.col("kind") == kind)
                    .orderBy(F.xxhash64("token"), "token").limit(tokens).collect()]
-            for kind in range(4)}
-    return Formats(rows, rows.pop(3))
+            for kind in range(3 + SORTS)}
+    return Formats({kind: rows[kind] for kind in range(3)},
+                   [token for kind in range(3, 3 + SORTS) for token in rows[kind]])
 
 
 def _listed(spans: list[tuple[int, int, int]]) -> str:
@@ -233,7 +257,7 @@ def _listed(spans: list[tuple[int, int, int]]) -> str:
 
 def found_secrets(documents: DataFrame, formats: Formats) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_inferred`` per document."""
-    bounded_batches(documents.sparkSession)
+    bounded_batches(documents.sparkSession, 8)
     kinds = {"doc_id": LongType(), "n_assign": LongType(), "n_access": LongType(),
              "n_hex": LongType(), "base_sha256": StringType(), "spans": StringType(),
              "n_inferred": LongType()}
@@ -254,7 +278,7 @@ def found_secrets(documents: DataFrame, formats: Formats) -> DataFrame:
                  *[pa.array(c, t) for c, t in zip(columns, types)]], names=list(kinds))
 
     return documents.select("doc_id", "text").mapInArrow(
-        run, StructType([StructField(n, t) for n, t in kinds.items()]))
+        frugal(run), StructType([StructField(n, t) for n, t in kinds.items()]))
 
 
 def scanned(documents: DataFrame) -> DataFrame:
@@ -267,7 +291,7 @@ def redacted(documents: DataFrame, formats: Formats, mark: str = "[SECRET]") ->
 
     A document without a span keeps its row as it is.
     """
-    bounded_batches(documents.sparkSession)
+    bounded_batches(documents.sparkSession, 8)
     schema, names = documents.schema, documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,4 +318,4 @@ def redacted(documents: DataFrame, formats: Formats, mark: str = "[SECRET]") ->
                 columns[size] = pa.array(sizes, columns[size].type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(frugal(run), schema)

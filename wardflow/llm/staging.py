@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +46,35 @@ def bounded_batches(spark: SparkSession, megabytes: int = 16) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
 
 
+def give_back() -> None:
+    """Return to the system what this Python worker has freed.
+
+    Spark keeps workers for later tasks, and Arrow and malloc keep the largest batch they met.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # other C libraries return memory by themselves
+        pass
+
+
+def frugal(step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A function for ``mapInArrow`` that gives memory back after each batch and at its end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def watched() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                del batch
+                give_back()
+
+        try:
+            yield from step(watched())
+        finally:
+            give_back()
+
+    return run
+
+
 def word_count(text) -> F.Column:
     """Words of a text, 0 for NULL; JVM-side."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
