@@ -388,3 +388,81 @@ def test_a_failing_rename_gives_the_name_back(spark, database, monkeypatch):
         tables.table_overwrite_sink(spark.range(3).withColumn("x", F.lit(1)), target)
     assert spark.table(target).count() == 5 and spark.table(target).columns == ["id"]
     assert [t.name for t in spark.catalog.listTables(database)] == ["renamed"]
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """3,000 rows: a hot value, most others in a narrow range, a few far away, some NULL."""
+    address = f"jdbc:derby:memory:skew_{uuid.uuid4().hex}"
+    n = F.col("id")
+    key = (F.when(n < 900, 7).when(n < 1000, n * 1_000_000_007).when(n < 1100, None)
+           .when(n < 1200, -n).otherwise(100 + n % 400))
+    spark.range(3000).select(n, key.cast("long").alias("k")).coalesce(1).write.format("jdbc").options(
+        url=f"{address};create=true", driver=DERBY_DRIVER, dbtable="items").save()
+    return address
+
+
+def partition_sizes(scan):
+    return scan.groupBy(F.spark_partition_id().alias("p")).count().collect()
+
+
+@pytest.mark.parametrize("parts", [1, 4, 10])
+def test_skewed_keys_give_even_partitions(spark, skewed, parts):
+    scan = jdbc.jdbc_balanced_scan(spark, skewed, DERBY_DRIVER, "items", "k", parts, second="id")
+    sizes = [r["count"] for r in partition_sizes(scan)]
+    assert abs(len(sizes) - parts) <= 1 and max(sizes) <= 2 * min(sizes)
+    assert scan.select("id").distinct().count() == 3000 == scan.count()
+    assert scan.where("k IS NULL").count() == 100
+
+
+def test_a_hot_value_is_a_partition_of_its_own(spark, skewed):
+    scan = jdbc.jdbc_partitioned_scan(spark, skewed, DERBY_DRIVER, "items", "k", num_partitions=10)
+    hot = scan.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("k") == 7).alias("hot")).where("hot > 0").collect()
+    assert [(r.n, r.hot) for r in hot] == [(900, 900)] and scan.count() == 3000
+    rest = [r["count"] for r in partition_sizes(scan.where("k IS NULL OR k <> 7"))]
+    assert max(rest) <= 2 * 300
+
+
+def test_predicates_of_odd_tables(spark):
+    assert jdbc.balanced_predicates(0, [], "k", 4) == ["(k IS NOT NULL) OR k IS NULL"]
+    assert jdbc.balanced_predicates(5, [], "k", 4) == ["(k IS NOT NULL)", "k IS NULL"]
+    assert jdbc.balanced_predicates(0, [(3, 4, 9)], "k", 1) == ["k IS NULL OR (k IS NOT NULL)"]
+
+
+def test_transfer_reads_the_source_once_and_not_the_target(spark, url, database, monkeypatch):
+    seen = []
+    monkeypatch.setattr(jdbc.tables, "table_overwrite_sink", lambda rows, target: (
+        seen.append(rows), rows.write.saveAsTable(target, format="parquet")))
+    counted = spark.table
+    monkeypatch.setattr(type(spark), "table", lambda self, name: pytest.fail("read again"))
+    audit = jdbc.jdbc_transfer_audited(spark, url, DERBY_DRIVER, "items", f"{database}.once")
+    monkeypatch.undo()
+    assert audit.first().row_count == 100 == counted(f"{database}.once").count()
+    assert "CollectMetrics" in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_repeated_task_is_counted_once(spark, tmp_path, database):
+    flag = str(tmp_path / "failed")
+
+    def fails_once(batches):
+        import os
+
+        for batch in batches:
+            if not os.path.exists(flag):
+                open(flag, "w").close()
+                raise RuntimeError("first try")
+            yield batch
+
+    from pyspark.sql import Observation
+
+    written = Observation()
+    rows = spark.range(0, 1000, 1, 4).observe(written, F.count(F.lit(1)).alias("rows"))
+    if spark.sparkContext.master.startswith("local["):
+        # A local session doesn't repeat tasks, so the repeat is a second write of the same rows.
+        with pytest.raises(Exception):
+            rows.mapInArrow(fails_once, "id long").write.saveAsTable(f"{database}.once", format="parquet")
+        written = Observation()
+        rows = spark.range(0, 1000, 1, 4).observe(written, F.count(F.lit(1)).alias("rows"))
+    rows.mapInArrow(fails_once, "id long").write.saveAsTable(f"{database}.twice", format="parquet")
+    assert written.get["rows"] == 1000 == spark.table(f"{database}.twice").count()
