@@ -17,24 +17,27 @@ FILL = ("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod t
 
 
 def pieces(text):
-    """Template and raw tokens, by rules of single words."""
-    raw = regex.findall(r"[^\x20\x09-\x0D]+", text or "")
-    out, whole = [], text or ""
-    spans = [m.span() for m in regex.finditer(r"[^\x20\x09-\x0D]+", whole)]
-    for i, (start, _) in enumerate(spans):
-        word = raw[i]
-        before = whole[start - 2] if start >= 2 and not whole[start - 2].isspace() else ""
-        named = regex.match(r"\p{Lu}\p{Ll}+(?=\p{P}|$)", word)
-        if named and start >= 2 and regex.match(r"[\p{Ll}\p{Nd},]", before):
-            word = d.NAME + word[named.end():]
-        if regex.fullmatch(r"[(\"'+\-$€£]*\p{Nd}[\p{Nd}.,:/]*%?[)\"'.,;:!?]*", word):
-            word = d.NUMBER
-        if out and out[-1] == d.NUMBER and whole[start - 1] == " ":
-            unit = regex.match(r"(?i)(" + "|".join(d.UNITS) + r")(?=[.,;:!?)]*$)", word)
-            word = d.UNIT + word[unit.end():] if unit else word
-        word = regex.sub(r"(?<=.)[\p{P}--%]+$", "", word, flags=regex.V1 | regex.S)
-        out.append(word.lower())
-    return out, raw
+    """Template tokens and values, by rules of single words."""
+    raw = []
+    for word in regex.findall(r"[^\x20\x09-\x0D]+", text or ""):
+        joined = regex.fullmatch(r"(.*\p{Nd})((?i:" + "|".join(u for u in d.UNITS if u != "%") + r")[.,;:!?)\"']*)", word)
+        raw += [joined[1], joined[2]] if joined else [word]
+    out, numbers = [], "|".join(d.NUMBER_WORDS)
+    for word in raw:
+        bare = word.strip("()\"'.,;:!?")
+        plain = regex.fullmatch(r"[(\"'+\-$€£]*\p{Nd}[\p{Nd}.,:/]*%?[)\"'.,;:!?]*", word)
+        if plain or regex.fullmatch(f"({numbers})(-({numbers}|one))?", bare.lower()):
+            out.append(d.NUMBER)
+        elif out and out[-1] == d.NUMBER and regex.fullmatch("(?i)(" + "|".join(d.UNITS) + r")[.,;:!?)\"']*", word):
+            out.append(d.UNIT)
+        else:
+            whole = "".join(d.NAME if regex.fullmatch(r"\p{Lu}\p{Ll}+", p) and p not in d.OPENERS else p
+                            for p in regex.split(r"(\p{P})", word))
+            whole = regex.sub(r"(?<=.)[\p{P}--%]+$", "", whole, flags=regex.V1 | regex.S)
+            out.append(regex.sub(r"^[\p{P}--[%\-]]+(?=\p{P}*\P{P})", "", whole, flags=regex.V1 | regex.S).lower())
+    values = [regex.sub(r"^[\p{P}--\-]+(?=.)", "", regex.sub(r"(?<=.)[\p{P}--%]+$", "", w, flags=regex.V1),
+                        flags=regex.V1).lower() for w in raw]
+    return out, values
 
 
 def windows(parts):
@@ -42,12 +45,20 @@ def windows(parts):
 
 
 def brute(docs, items):
-    classes = {}
+    classes, whole = {}, {}
     for item, text in items:
         parts, raw = pieces(text)
+        if not any(sum(p not in (d.NUMBER, d.NAME, d.UNIT) for p in w) >= d.LITERALS for w in windows(parts)):
+            whole.setdefault(tuple(raw), []).append(item)
+            continue
         slots = [r for p, r in zip(parts, raw) if p in (d.NUMBER, d.NAME, d.UNIT)]
         classes.setdefault((tuple(parts), tuple(slots.index(s) for s in slots)), []).append((item, parts, raw))
     found = []
+    for raw, members in whole.items():
+        for doc, text in docs:
+            own = pieces(text)[1]
+            if raw and any(tuple(own[i:i + len(raw)]) == raw for i in range(len(own))):
+                found.append((doc, min(members), len(members), 0, 0, 0, True))
     for members in classes.values():
         item, parts, raw = min(members)
         wanted = {w for w in windows(parts) if sum(p not in (d.NUMBER, d.NAME, d.UNIT) for p in w) >= d.LITERALS}
@@ -128,3 +139,29 @@ def test_punctuation_at_a_slot_is_no_other_value(spark):
     got = d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items)
     assert sorted((r.doc_id, r.item_id, r.same_values) for r in got.collect()) == [
         (0, 0, True), (1, 0, True), (2, 0, False), (4, 1, True), (5, 1, True)]
+
+
+def test_questions_asked_with_other_values(spark):
+    """Names at the start of sentences, units joined to numbers, numbers in words."""
+    items = [(1, "Tom has 12 apples. Tom gives 5 apples to Anna. How many apples does Tom have left?"),
+             (2, "A lorry can carry 500 kg of sand, so how often must it go to move 9000 kg of it?"),
+             (3, "In the small class there are three boys and four girls, and three boys are away today.")]
+    docs = [(0, "Bob has 31 apples. Bob gives 8 apples to Mia. How many apples does Bob have left?"),
+            (1, "Bob has 31 apples. Jim gives 8 apples to Mia. How many apples does Bob have left?"),
+            (2, "A lorry can carry 700kg of sand, so how often must it go to move 4200kg of it?"),
+            (3, "In the small class there are seven boys and twenty-one girls, and Seven boys are away today."),
+            (4, "In the small class there are seven boys and nine girls, and eight boys are away today."),
+            (5, 'They asked: "Bob has 31 apples. Bob gives 8 apples to Mia. How many apples does Bob have left?"')]
+    got = found(spark, [(i, t, 1, "k", 2) for i, t in docs], items)
+    assert got == brute(docs, items)
+    assert {(r[0], r[1]) for r in got} == {(0, 1), (2, 2), (3, 3), (5, 1)}
+
+
+def test_items_without_windows_are_found_whole(spark):
+    items = [(1, "Why not?"), (2, "why not"), (3, "Anna Bruno 12 Carla Dora Emil 7 Fritz"), (4, "12 kg"), (5, "13 kg"),
+             (6, ""), (7, None), (8, "...")]
+    docs = [(0, "He said why not, and left."), (1, "why it is not"), (2, "x anna Bruno 12 Carla dora Emil 7 fritz."),
+            (3, "Anna Bruno 12 Carla Dora Emil 8 Fritz"), (4, "it weighs 12kg, not more"), (5, None), (6, "")]
+    got = found(spark, [(i, t, 1, "k", 2) for i, t in docs], items)
+    assert got == brute(docs, items)
+    assert {r[:3] for r in got} == {(0, 1, 2), (2, 3, 1), (4, 4, 1)}

@@ -4,14 +4,17 @@ Numbers, names and units of a text become typed placeholders, token for token, s
 asked again with other values keeps its template. Windows of ``WINDOW`` template tokens of all
 documents are hash-joined with those of the benchmark. A document holds an item if at least
 ``COVERAGE`` of the item's distinct windows occur in it and the slots agree: along the best
-alignment, equal item values must meet equal document values, and different ones different ones; punctuation at
-the ends of a value doesn't count.
+alignment, equal item values must meet equal document values, and different ones different ones;
+case and punctuation at the ends of a value don't count.
 Items whose template and pattern of equal slots are the same form one class, listed once.
 
-Defined cases: a NULL or empty text has no tokens; an item of fewer than ``WINDOW`` tokens, or
-whose windows all hold fewer than ``LITERALS`` words that are no placeholders, has no windows and is
-never found; rows that repeat a document are each judged, those that repeat an item count once
-each in ``n_items``; empty tables give no rows. Only the named columns are read.
+An item without a window to look for, because it is shorter or its windows all hold fewer than
+``LITERALS`` words that are no placeholders, is found where it stands whole, word for word; its
+class has the items of the same words, and its ``n_windows``, ``n_found`` and ``n_slots`` are 0.
+
+Defined cases: a NULL or empty text has no tokens, holds nothing and is found nowhere; rows that
+repeat a document are each judged, those that repeat an item count once each in ``n_items``; empty
+tables give no rows. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -33,22 +36,47 @@ UNITS = ("mm", "cm", "m", "km", "in", "inch", "inches", "ft", "feet", "yd", "mil
          "dollars", "cents", "c", "f", "degrees", "kmh", "mph", "w", "kw", "v", "hz", "j", "n", "pa")
 
 
+#: Numbers in words ("one" is left out, as it is a pronoun too).
+NUMBER_WORDS = ("two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven",
+                "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen",
+                "nineteen", "twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty",
+                "ninety", "hundred", "thousand", "million", "billion", "dozen")
+#: Words that begin sentences and are no names.
+OPENERS = ("The", "An", "This", "That", "These", "Those", "He", "She", "It", "They", "We", "You",
+           "His", "Her", "Its", "Their", "Our", "Your", "My", "What", "Which", "Who", "Whose", "When",
+           "Where", "Why", "How", "If", "In", "On", "At", "Of", "For", "To", "From", "By", "With",
+           "And", "Or", "But", "So", "As", "Each", "Every", "All", "Some", "Any", "No", "Not", "There",
+           "Then", "After", "Before", "During", "While", "Is", "Are", "Was", "Were", "Do", "Does", "Did",
+           "Has", "Have", "Can", "Could", "Would", "Should", "Let", "Find", "Given", "Suppose", "Now")
+GAP, START, END = r"\x20\x09-\x0D", r"(?<![^\x20\x09-\x0D])", r"(?![^\x20\x09-\x0D])"
+
+
+def parted(text: Column) -> Column:
+    """The text with units that are joined to a number (5kg) as tokens of their own."""
+    joined = rf"(?<=\p{{Nd}})(?=(?i:{'|'.join(u for u in UNITS if u != '%')})[.,;:!?)\"']*{END})"
+    return F.regexp_replace(text, joined, " ")
+
+
 def template(text: Column) -> Column:
-    """The text with placeholders, words lower-cased without punctuation at their ends.
+    """A ``parted`` text with placeholders, words lower-cased without punctuation at their ends.
 
     Each pass replaces within one token, so the tokens keep their places. A number is a token of
-    digits with signs, separators or a currency mark around; a name is a capitalised word after a
-    lower-case letter, a comma or a number, so that the first word of a sentence is none.
+    digits with signs, separators or a currency mark around, or a number word; a name is a
+    capitalised word, wherever it stands, that is none of ``OPENERS``. So a template doesn't depend
+    on what stands before it.
     """
-    start, end = r"(?<![^\x20\x09-\x0D])", r"(?![^\x20\x09-\x0D])"
-    named = F.regexp_replace(
-        text, r"(?<=[\p{Ll}\p{Nd},][\x20\x09-\x0D])\p{Lu}\p{Ll}+(?=[\p{P}\x20\x09-\x0D]|$)", NAME)
-    number = start + r"[(\"'+\-$€£]*\p{Nd}[\p{Nd}.,:/]*%?[)\"'.,;:!?]*" + end
-    numbered = F.regexp_replace(named, number, NUMBER)
-    unit = f"(?<={NUMBER}\\x20)(?i:{'|'.join(UNITS)})(?=[.,;:!?)]*{end})"
+    words = "|".join(NUMBER_WORDS)
+    number = (START + rf"[(\"'+\-$€£]*(?:\p{{Nd}}[\p{{Nd}}.,:/]*%?|(?i:(?:{words})(?:-(?:{words}|one))?))"
+              + r"[)\"'.,;:!?]*" + END)
+    numbered = F.regexp_replace(text, number, NUMBER)
+    unit = f"(?<={NUMBER}\\x20)(?i:{'|'.join(UNITS)})(?=[.,;:!?)\"']*{END})"
     marked = F.regexp_replace(numbered, unit, UNIT)
-    trimmed = F.regexp_replace(marked, r"(?<=[^\x20\x09-\x0D])[\p{P}&&[^%]]+" + end, "")
-    return F.lower(trimmed)
+    after = rf"(?=[\p{{P}}{GAP}]|$)"
+    named = F.regexp_replace(
+        marked, rf"(?<![^\p{{P}}{GAP}])(?!(?:{'|'.join(OPENERS)}){after})\p{{Lu}}\p{{Ll}}+{after}", NAME)
+    ends = (rf"(?<=[^{GAP}])[\p{{P}}&&[^%]]+{END}"
+            rf"|{START}[\p{{P}}&&[^%\-]]+(?=\p{{P}}*[^\p{{P}}{GAP}])")
+    return F.lower(F.regexp_replace(named, ends, ""))
 
 
 def tokens(text: Column) -> Column:
@@ -71,34 +99,79 @@ def window_hashes(parts: Column, size: int = WINDOW) -> Column:
 
 
 def _values(raw: Column) -> Column:
-    """The tokens without punctuation at their ends, which belongs to the sentence, not to a slot.
+    """The tokens in lower case without punctuation at their ends, which belong to the sentence.
 
     A token of punctuation alone stays, and so does the sign before a number.
     """
-    return F.transform(raw, lambda x: F.regexp_replace(F.regexp_replace(
-        x, r"(?<=.)[\p{P}&&[^%]]+$", ""), r"^[\p{P}&&[^\-]]+(?=.)", ""))
+    return F.transform(raw, lambda x: F.lower(F.regexp_replace(F.regexp_replace(
+        x, r"(?<=.)[\p{P}&&[^%]]+$", ""), r"^[\p{P}&&[^\-]]+(?=.)", "")))
+
+
+def _literals(parts: Column) -> Column:
+    return F.transform(parts, lambda t: F.when(_is_slot(t), 0).otherwise(1))
+
+
+def _enough(literals: Column, place: Column) -> Column:
+    """Whether the window at a place has enough words that are no placeholders."""
+    words = F.slice(literals, place + 1, WINDOW)
+    return F.aggregate(words, F.lit(0), lambda total, x: total + x) >= LITERALS
 
 
 def benchmark_classes(benchmark: DataFrame) -> DataFrame:
-    """``item_id`` (least of its class), ``n_items``, template ``parts`` and ``raw`` tokens."""
-    cut = benchmark.select("item_id", tokens(template(F.col("text"))).alias("parts"),
-                           _values(tokens(F.col("text"))).alias("raw"))
+    """``item_id`` (least of its class), ``n_items``, template ``parts``, ``raw`` tokens, ``whole``.
+
+    The last marks items without a window to look for.
+    """
+    text = parted(F.col("text"))
+    cut = benchmark.select("item_id", tokens(template(text)).alias("parts"),
+                           _values(tokens(text)).alias("raw"))
     slots = F.transform(F.filter(F.arrays_zip("parts", "raw"), lambda x: _is_slot(x["parts"])),
                         lambda x: x["raw"])
     pattern = let(slots, lambda every: F.transform(every, lambda s: F.array_position(every, s)))
-    return (cut.withColumn("pattern", pattern).groupBy("parts", "pattern")
+    last = F.size("parts") - WINDOW
+    sought = let(_literals(F.col("parts")), lambda known: F.exists(
+        F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: _enough(known, i)))
+    known = cut.filter(F.size("parts") > 0).withColumn("pattern", pattern).withColumn(
+        "whole", ~((last >= 0) & sought))
+    return (known.groupBy("parts", "pattern", "whole", F.when(F.col("whole"), F.col("raw")))
             .agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items"),
-                 F.min_by("raw", "item_id").alias("raw")))
+                 F.min_by("raw", "item_id").alias("raw"))
+            .select("item_id", "n_items", "parts", "raw", "whole"))
 
 
 def item_windows(classes: DataFrame) -> DataFrame:
     """``item_id, place, hash`` of windows with enough literal words."""
-    literal = F.transform("parts", lambda t: F.when(_is_slot(t), 0).otherwise(1))
-    spread = classes.select("item_id", literal.alias("literal"),
+    spread = classes.select("item_id", _literals(F.col("parts")).alias("literal"),
                             F.posexplode(window_hashes(F.col("parts"))).alias("place", "hash"))
-    words = F.aggregate(F.slice("literal", F.col("place") + 1, WINDOW), F.lit(0),
-                        lambda total, x: total + x)
-    return spread.filter(words >= LITERALS).select("item_id", "place", "hash")
+    return spread.filter(_enough(F.col("literal"), F.col("place"))).select("item_id", "place", "hash")
+
+
+def _held_whole(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Documents that hold an item without windows word for word; None if there is no such item.
+
+    The first ``WINDOW`` tokens, or all of fewer, are hash-joined. What meets is compared in full.
+    """
+    size = F.least(F.size("raw"), F.lit(WINDOW)).alias("size")
+    whole = classes.filter("whole").select("item_id", "n_items", "raw", size)
+    sizes = sorted(r["size"] for r in whole.select("size").distinct().collect())
+    if not sizes:
+        return None
+    values = docs.select("key", "doc_id", _values(tokens(parted(F.col("text")))).alias("doc_raw"))
+    near = None
+    for n in sizes:
+        first = whole.filter(F.col("size") == n).select(
+            "item_id", F.xxhash64(*[F.get("raw", F.lit(k)) for k in range(n)]).alias("hash"))
+        hashes = F.array_distinct(window_hashes(F.col("doc_raw"), n))
+        met = values.select("key", F.explode(hashes).alias("hash")).join(first, "hash")
+        near = met.drop("hash") if near is None else near.unionByName(met.drop("hash"))
+    both = near.join(values, "key").join(whole.drop("size"), "item_id")
+    last = F.size("doc_raw") - F.size("raw")
+    held = F.exists(F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+                    lambda i: F.slice("doc_raw", i + 1, F.size("raw")) == F.col("raw"))
+    none = F.lit(0)
+    return both.filter((last >= 0) & held).select(
+        "doc_id", "key", "item_id", "n_items", none.cast("long").alias("n_windows"),
+        none.alias("n_found"), none.alias("n_slots"), F.lit(True).alias("same_values"))
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -108,13 +181,13 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
     verbatim copy of the slots from a re-parameterised question.
     """
     classes = staged(benchmark_classes(benchmark), "classes")
-    windows = staged(item_windows(classes), "windows")
+    windows = staged(item_windows(classes.filter("not whole")), "windows")
     docs = keyed(documents, "doc_id", "text")
     n_windows = windows.count()
     items = windows.groupBy("item_id").agg(F.countDistinct("hash").alias("n_windows"))
     places = F.broadcast(windows) if n_windows <= BROADCAST_WINDOWS else windows
     spread = docs.select("key", F.posexplode(
-        window_hashes(tokens(template(F.col("text"))))).alias("doc_place", "hash"))
+        window_hashes(tokens(template(parted(F.col("text")))))).alias("doc_place", "hash"))
     met = staged(spread.join(places, "hash").select(
         "key", "item_id", "hash", (F.col("doc_place") - F.col("place")).alias("shift")), "met")
     shifts = (met.groupBy("key", "item_id", "shift").agg(F.count("*").alias("n"))
@@ -126,8 +199,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
              .join(shifts, ["key", "item_id"]))
     found = staged(found, "found")
     texts = docs.join(found.select("key").distinct(), "key", "left_semi").select(
-        "key", "doc_id", tokens(template(F.col("text"))).alias("doc_parts"),
-        _values(tokens(F.col("text"))).alias("doc_raw"))
+        "key", "doc_id", tokens(template(parted(F.col("text")))).alias("doc_parts"),
+        _values(tokens(parted(F.col("text")))).alias("doc_raw"))
     both = found.join(texts, "key").join(classes, "item_id")
 
     def pair(i: Column) -> Column:
@@ -146,7 +219,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
         return F.size(F.array_distinct(F.transform("pairs", lambda x: x[field])))
 
     judged = both.withColumn("pairs", pairs).withColumn("n_kinds", F.size(kinds))
-    return (judged.filter((F.col("n_kinds") == different("item")) & (F.col("n_kinds") == different("doc")))
+    judged = (judged.filter((F.col("n_kinds") == different("item")) & (F.col("n_kinds") == different("doc")))
             .select("doc_id", "key", "item_id", "n_items", "n_windows", "n_found",
                     F.size("pairs").alias("n_slots"),
                     F.forall("pairs", lambda x: x["item"] == x["doc"]).alias("same_values")))
+    whole = _held_whole(docs, classes)
+    return judged if whole is None else judged.unionByName(whole)
