@@ -288,3 +288,25 @@ def ccda_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.select("c_custkey", document(allergies)).unionByName(
         lines.select("c_custkey", document(allergies, medications))
     )
+
+
+def lab_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, value): one result message per order, of one to four repeated groups.
+
+    Group g has an ORC, an OBR and one to three OBX; every second one ends with a note.
+    """
+    key = F.col("o_orderkey")
+
+    def group(g: Column) -> Column:
+        number = g.cast("string")
+        results = F.transform(F.sequence(F.lit(1).cast("bigint"), (key + g) % 3 + 1), lambda j: F.concat(
+            F.lit("OBX|"), j.cast("string"), F.lit("|NM|718-7||"), (key % 20).cast("string")))
+        note = F.when(g % 2 == 0, F.lit("\rNTE|1||checked")).otherwise("")
+        return F.concat(F.lit("ORC|"), number, F.lit("\rOBR|"), number, F.lit("||X\r"),
+                        F.array_join(results, "\r"), note)
+
+    groups = F.transform(F.sequence(F.lit(1).cast("bigint"), key % 4 + 1), group)
+    head = F.concat(F.lit("MSH|^~\\&|LAB|L|||20010101||ORU^R01|R"), key.cast("string"),
+                    F.lit("|P|2.5\rPID|1||PAT"), F.col("o_custkey").cast("string"), F.lit("\r"))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(head, F.array_join(groups, "\r")).alias("value"))

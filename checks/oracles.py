@@ -590,3 +590,34 @@ SELECT o_orderkey, {described('snomed', 'snomed')} AS snomed_text,
        {bucket('days')} AS bucket, {snomed_valid('snomed')} AS snomed_ok,
        {icd10_valid('icd10')} AS icd10_ok
 FROM coded"""
+ORACLES["hl7_segment_groups"] = """
+WITH sized AS (
+  SELECT o_orderkey, o_custkey, g, (o_orderkey + g) % 3 + 1 AS results, g % 2 = 0 AS noted
+  FROM (SELECT o_orderkey, o_custkey, unnest(range(1, o_orderkey % 4 + 2)) AS g FROM orders)
+), placed AS (
+  SELECT *, 2 + coalesce(sum(2 + results + CASE WHEN noted THEN 1 ELSE 0 END) OVER (
+    PARTITION BY o_orderkey ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_place
+  FROM sized
+), listed AS (
+  SELECT o_orderkey, 0 AS place, NULL AS parent, 'MSH' AS kind, '|' AS first_field FROM orders
+  UNION ALL SELECT o_orderkey, 1, NULL, 'PID', '1' FROM orders
+  UNION ALL SELECT o_orderkey, start_place, 1, 'ORC', CAST(g AS VARCHAR) FROM placed
+  UNION ALL SELECT o_orderkey, start_place + 1, start_place, 'OBR', CAST(g AS VARCHAR) FROM placed
+  UNION ALL SELECT o_orderkey, start_place + 1 + j, start_place + 1, 'OBX', CAST(j AS VARCHAR)
+            FROM (SELECT *, unnest(range(1, results + 1)) AS j FROM placed)
+  UNION ALL SELECT o_orderkey, start_place + 2 + results, start_place + 1 + results, 'NTE', '1' FROM placed WHERE noted
+)
+SELECT o_orderkey, CAST(place AS INTEGER) AS segment_index, CAST(parent AS INTEGER) AS parent_index,
+       kind AS segment_type, first_field
+FROM listed"""
+ORACLES["fhir_resources"] = fhir("""
+SELECT 'Patient' AS resource_type, person_id AS id, NULL AS account FROM person
+UNION ALL SELECT 'Patient', person_id, NULL FROM condition_occurrence
+UNION ALL SELECT 'Condition', condition_occurrence_id, NULL FROM condition_occurrence
+UNION ALL SELECT 'Encounter', visit_occurrence_id, 'V-' || visit_occurrence_id FROM visit_occurrence
+UNION ALL SELECT 'Procedure', procedure_occurrence_id, NULL FROM procedure_occurrence""")
+ORACLES["load_omop_whole"] = ORACLES["fhir_to_condition_occurrence"]
+ORACLES["stream_hl7_ledgered"] = hl7("""
+SELECT CASE WHEN is_parse_error THEN 'errors' ELSE 'rows' END AS part, facility, count(*) AS messages
+FROM parsed GROUP BY ALL
+UNION ALL SELECT 'ledger', '', count(*) FROM parsed""")

@@ -264,6 +264,14 @@ def hl7_segments(spark, sf_dir):
     )
 
 
+@query
+def hl7_segment_groups(spark, sf_dir):
+    segments = hl7.hl7_segments(
+        inputs.lab_messages(spark, sf_dir), keep=["o_orderkey"], parents=hl7.SEGMENT_PARENTS)
+    return segments.select("o_orderkey", "segment_index", "parent_index", "segment_type",
+                           F.get("fields", F.lit(1)).alias("first_field"))
+
+
 @query
 def hl7_components(spark, sf_dir):
     parsed = hl7_parse_adt(spark, sf_dir)
@@ -360,6 +368,28 @@ def condition_features(spark, sf_dir):
     return fhir.condition_features(conditions)
 
 
+@query
+def fhir_resources(spark, sf_dir):
+    """All resources kept whole; the account of an Encounter is a field that no schema names."""
+    account = F.regexp_replace(
+        "value", '("resourceType":"Encounter",)("id":"(e[0-9]+)")', '$1"identifier":[{"value":"V-$3"}],$2')
+    target = tables.new_table(spark, sf_dir, "resources")
+    bundles = inputs.fhir_bundles(spark, sf_dir).select(account.alias("value"))
+    sinks.table_overwrite_sink(fhir.fhir_resources(bundles), target)
+    return spark.table(target).select(
+        F.col("kind").alias("resource_type"), "id",
+        fhir.resource_field("$.identifier[0].value").alias("account"))
+
+
+@query
+def load_omop_whole(spark, sf_dir):
+    """The conditions of a load that keeps all resources whole."""
+    database = tables.database(spark, sf_dir, "fhir_whole")
+    landed = f"{tables.landed_bundles(spark, sf_dir)}/*"
+    bundles = files.fhir_bundle_scan(spark, landed, one_per_line=True)
+    return fhir.load_omop(bundles, database, whole=True)["condition_occurrence"]
+
+
 # --- Filter, preview, count ---
 
 
@@ -546,6 +576,24 @@ def stream_hl7_append(spark, sf_dir):
     )
 
 
+@query
+def stream_hl7_ledgered(spark, sf_dir):
+    """Messages, parse errors and the counts of the ledger, after two runs."""
+    place, state = (tables.new_path(spark, sf_dir, name) for name in ("ledgered", "stream-state"))
+    parsed = hl7_stream.stream_hl7_parse(_stream(spark, sf_dir))
+    for _ in range(2):
+        hl7_stream.stream_hl7_ledgered(parsed, place, state).awaitTermination()
+    counted = [
+        hl7_stream.ledgered_table(spark, place, part).groupBy("facility").agg(
+            F.count("*").alias("messages")).withColumn("part", F.lit(part))
+        for part in ("rows", "errors")]
+    ledger = hl7_stream.ledgered_table(spark, place, "ledger").agg(
+        F.sum("rows").alias("rows"), F.sum("errors").alias("errors"))
+    totals = ledger.select(F.lit("").alias("facility"), F.expr("rows + errors").alias("messages"),
+                           F.lit("ledger").alias("part"))
+    return counted[0].unionByName(counted[1]).unionByName(totals)
+
+
 # --- Named queries ---
 
 

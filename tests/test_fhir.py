@@ -186,3 +186,50 @@ def test_bundles_are_parsed_once_and_in_place(spark):
     entries = fhir.fhir_entries(frame(spark, referring("urn:uuid:ccc")))
     plan = fhir.fhir_to_condition_occurrence(entries)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1 and "Exchange" not in plan
+
+
+def _same_rows(left, right):
+    right = right.select(left.columns)
+    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+def test_resources_kept_whole_give_the_same_entries(spark):
+    """References by full URL, odd types, repeated keys, other kinds, text that is no Bundle."""
+    texts = [
+        """{"resourceType":"Bundle","entry":[
+            {"fullUrl":"urn:uuid:aaa","resource":{"resourceType":"Patient","id":"p1","gender":"female","x":{"y":[1,2]}}},
+            {"fullUrl":"urn:uuid:b","resource":{"resourceType":"Condition","id":"c1","subject":{"reference":"urn:uuid:aaa"},
+             "code":{"coding":[{"system":"s","code":"44054006"}]}}},
+            {"resource":{"resourceType":"Observation","id":"o1","valueQuantity":{"value":5.5}}}]}""",
+        '{"resourceType":"Bundle","entry":[{"resource":{"resourceType":"Patient","id":"p2","meta":"odd","gender":"male"}}]}',
+        '{"resourceType":"Bundle","kind":"a","kind":"b","entry":[{"resource":{"resourceType":"Patient","id":"p3"}}]}',
+        '{"resourceType":"Bundle","entry":[{}, null, {"resource":null}]}', '{"resourceType":"Bundle"}', "garbage", "", None,
+    ]
+    bundles = spark.createDataFrame([(t,) for t in texts], "value string")
+    resources = fhir.fhir_resources(bundles)
+    kinds = sorted((r.kind, r.id) for r in resources.collect())
+    assert kinds == [("Condition", "c1"), ("Observation", "o1"), ("Patient", "p1"), ("Patient", "p2"), ("Patient", "p3")]
+    for kind, table in ((k, t) for t, k in fhir.RESOURCE_OF_TABLE.items()):
+        transform = fhir.TRANSFORMS[table]
+        whole = transform(fhir.entries_of(resources, [kind]))
+        assert _same_rows(whole, transform(fhir.fhir_entries(bundles, kinds=[kind])))
+    condition = fhir.fhir_to_condition_occurrence(fhir.entries_of(resources)).first()
+    assert condition.person_id == "p1"
+    unlisted = resources.select(
+        "id", fhir.resource_field("$.x.y[1]", "int").alias("y"),
+        fhir.resource_field("$.valueQuantity.value", "double").alias("value")).where("y IS NOT NULL OR value IS NOT NULL")
+    assert sorted(tuple(r) for r in unlisted.collect()) == [("o1", None, 5.5), ("p1", 2, None)]
+
+
+def test_a_load_of_whole_resources_parses_text_once(spark, tmp_path):
+    database = f"w_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/db'")
+    bundles = inputs.fhir_bundles(spark, SMALL)
+    plan = fhir.fhir_resources(bundles)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") + plan.count("parse_json") <= 2  # the Bundle, or each of its resources
+    loaded = fhir.load_omop(bundles, database, whole=True)
+    stored = spark.table(f"{database}.fhir_resources")
+    for table, kind in fhir.RESOURCE_OF_TABLE.items():
+        assert _same_rows(loaded[table], fhir.TRANSFORMS[table](fhir.fhir_entries(bundles, kinds=[kind])))
+        read = fhir.entries_of(stored, [kind])._jdf.queryExecution().executedPlan().toString()
+        assert "from_json" not in read and "EqualTo(kind," in read or "In(kind" in read

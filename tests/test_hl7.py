@@ -169,3 +169,28 @@ def test_parse_error_rows_are_listed(spark):
     frame = spark.createDataFrame([(HEAD,), ("x",), (None,)], "value string")
     errors = hl7.hl7_parse_errors(hl7.hl7_parse_adt(frame)).collect()
     assert len(errors) == 2 and all(row.facility.startswith("PARSE_ERROR: ") for row in errors)
+
+
+def test_segments_find_the_segment_they_belong_to(spark):
+    result = ("MSH|^~\\&|LAB\rPID|1\rNTE|1\rORC|1\rOBR|1\rOBX|1\rNTE|1\rNTE|2\rOBX|2\r"
+              "ORC|2\rOBR|2\rNTE|1\rZZZ|1\rOBX|1")
+    other = "MSH#^~\\&#LAB\nOBX#1\nPID#1\nOBX#2"
+    rows = [(1, result), (2, other), (3, "no message"), (4, None), (5, "MSH|"), (5, "MSH|")]
+    messages = spark.createDataFrame(rows, "n int, value string")
+    found = hl7.hl7_segments(messages, keep=["n"], parents=hl7.SEGMENT_PARENTS)
+    places = {}
+    for row in found.orderBy("n", "segment_index").collect():
+        places.setdefault(row.n, []).append(row.parent_index)
+    assert places == {1: [None, None, 1, 1, 3, 4, 5, 5, 4, 1, 9, 10, None, 10],
+                      2: [None, None, None, 2], 5: [None, None]}
+    plain = hl7.hl7_segments(messages, keep=["n"])
+    assert found.drop("parent_index").exceptAll(plain).isEmpty() and found.count() == plain.count()
+    nothing = hl7.hl7_segments(messages, parents={})
+    assert nothing.where("parent_index IS NOT NULL").isEmpty() and nothing.count() == plain.count()
+
+
+def test_segment_parents_are_found_within_the_row(spark):
+    messages = spark.createDataFrame([("MSH|a",)], "value string")
+    found = hl7.hl7_segments(messages, parents=hl7.SEGMENT_PARENTS)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Generate") == 1

@@ -125,6 +125,68 @@ def _resolved(reference: Column, referring: Column, targets: Column) -> Column:
                   ).otherwise(reference)
 
 
+def fhir_resources(bundles: DataFrame, col: str = "value") -> DataFrame:
+    """One row per Bundle entry with its resource whole: ``kind, id, url, targets, resource``.
+
+    ``resource`` is a VARIANT: any field can be read by ``resource_field`` later, also one that no
+    schema here names, without parsing text again. ``entries_of`` gives the rows of
+    ``fhir_entries``. A Bundle is parsed once. One that is no VARIANT as a whole, because it is too
+    large for that or a key is repeated in an object, is cut into resources first, and each is parsed
+    by itself; a resource that isn't one even so has a row with NULL as ``resource``.
+    """
+    text = F.col(col)
+    whole = F.try_variant_get(F.try_parse_json(text), "$.entry", "array<struct<fullUrl:string,resource:variant>>")
+    cut = _let(F.from_json(text, "entry array<struct<fullUrl:string,resource:string>>")["entry"], _each_parsed)
+    entries = F.coalesce(_let(whole, _each_named), cut)
+
+    def beside_targets(named: Column) -> Column:
+        return _let(_targets(named), lambda targets: F.transform(named, lambda entry: F.struct(
+            entry["resource"]["resourceType"].alias("kind"), entry["resource"]["id"].alias("id"),
+            entry["fullUrl"].alias("url"), targets.alias("targets"), entry["whole"].alias("resource"))))
+
+    each = bundles.select(F.explode(_let(entries, beside_targets)).alias("entry"))
+    return each.where("entry.kind IS NOT NULL").select("entry.*")
+
+
+def _named(url: Column, kind: Column, identifier: Column, resource: Column) -> Column:
+    return F.struct(url.alias("fullUrl"), F.struct(
+        kind.alias("resourceType"), identifier.alias("id")).alias("resource"), resource.alias("whole"))
+
+
+def _each_named(entries: Column) -> Column:
+    return F.transform(entries, lambda entry: _named(
+        entry["fullUrl"], resource_field("$.resourceType", "string", entry["resource"]),
+        resource_field("$.id", "string", entry["resource"]), entry["resource"]))
+
+
+def _each_parsed(entries: Column) -> Column:
+    def parsed(entry: Column) -> Column:
+        text = entry["resource"]
+        return _named(entry["fullUrl"], F.get_json_object(text, "$.resourceType"),
+                      F.get_json_object(text, "$.id"), F.try_parse_json(text))
+
+    return F.transform(entries, parsed)
+
+
+def resource_field(path: str, kind: str = "string", resource: Column | None = None) -> Column:
+    """A field of a stored resource by its path (``$.identifier[0].value``); NULL if it isn't there."""
+    return F.try_variant_get(F.col("resource") if resource is None else resource, path, kind)
+
+
+def entries_of(resources: DataFrame, kinds: Sequence[str] | None = None) -> DataFrame:
+    """The rows of ``fhir_entries`` from the rows of ``fhir_resources``, references resolved."""
+    kinds = list(kinds or RESOURCE_FIELDS)
+    schema = resource_schema(kinds)
+    typed = resources.where(F.col("kind").isin(kinds)).select(
+        "kind", "id", "url", "targets", resource_field("$", schema.simpleString()).alias("fields"))
+    given = {"resourceType": F.col("kind"), "id": F.col("id")}
+    return typed.select(*[
+        given[name].alias(name) if name in given else
+        _resolved(F.col(f"fields.{name}"), F.col("url"), F.col("targets")).alias(name)
+        if name in REFERRING else F.col(f"fields.{name}") for name in schema.names
+    ])
+
+
 def fhir_parse_errors(bundles: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """The Bundles ``fhir_entries`` gets nothing from by fault: cause, and the start of the text.
 
@@ -231,21 +293,26 @@ TRANSFORMS = {
 }
 
 
-def load_omop(bundles: DataFrame, database: str, col: str = "value") -> dict[str, DataFrame]:
+def load_omop(
+    bundles: DataFrame, database: str, col: str = "value", whole: bool = False
+) -> dict[str, DataFrame]:
     """Write the four tables to ``database`` and return them.
 
     The JSON is parsed once, into ``fhir_resources``. Each task sorts its rows by resource kind
     and writes one file, without a shuffle; each table then reads its own columns and, by the
-    page statistics, the pages of its kind.
+    page statistics, the pages of its kind. With ``whole`` that table holds all resources, of every
+    kind and with all their fields, in the form of ``fhir_resources``.
     """
     spark = bundles.sparkSession
     staged = f"{database}.fhir_resources"
-    table_overwrite_sink(
-        fhir_entries(bundles, col).sortWithinPartitions("resourceType"), staged
-    )
+    parsed = (fhir_resources(bundles, col).sortWithinPartitions("kind") if whole
+              else fhir_entries(bundles, col).sortWithinPartitions("resourceType"))
+    table_overwrite_sink(parsed, staged)
     loaded = {}
     for table, transform in TRANSFORMS.items():
-        table_overwrite_sink(transform(spark.table(staged)), f"{database}.{table}")
+        stored = spark.table(staged)
+        entries = entries_of(stored, [RESOURCE_OF_TABLE[table]]) if whole else stored
+        table_overwrite_sink(transform(entries), f"{database}.{table}")
         loaded[table] = spark.table(f"{database}.{table}")
     return loaded
 

@@ -25,6 +25,13 @@ ESCAPES = [
 NO_TEXT = "no message text"
 NOT_MSH = "first segment is not MSH"
 SHORT_MSH = "MSH segment ends before field 9"
+# Segments that a segment belongs to; the nearest one before it counts.
+SEGMENT_PARENTS = {
+    "PD1": ("PID",), "NK1": ("PID",), "PV1": ("PID",), "PV2": ("PV1",), "DG1": ("PID",),
+    "PR1": ("PID",), "ROL": ("PR1", "PV1", "PID"), "IN1": ("PID",), "IN2": ("IN1",), "IN3": ("IN1",),
+    "ORC": ("PID",), "OBR": ("ORC", "PID"), "OBX": ("OBR", "PID"), "SPM": ("OBR",),
+    "NTE": ("OBX", "OBR", "ORC", "PID"),
+}
 # --- End of fixed values ---
 
 PARSED_COLUMNS = ["patient_id", "admit_location", "admit_diagnosis", "message_type", "facility"]
@@ -177,28 +184,50 @@ def hl7_parse_errors(parsed: DataFrame) -> DataFrame:
     return parsed.where("is_parse_error")
 
 
-def hl7_segments(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+def hl7_segments(
+    df: DataFrame,
+    col: str = "value",
+    keep: Sequence[str] = (),
+    parents: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
     """One row per segment: type, place in the message, and fields.
 
     ``fields[n]`` is field n for every type, ``fields[0]`` the type. Text that does not start
     with MSH has no segments; ``hl7_parse_errors`` lists it.
+
+    With ``parents``, for instance ``SEGMENT_PARENTS``, there is ``parent_index`` too: the place of
+    the last segment before this one whose type is among those named for its type, NULL where
+    there is none or no type is named. So repeated groups stay apart. The places are found by one
+    fold over the segments, within the row.
     """
     message = df.select(*keep, _trimmed(F.col(col)).alias("_message"))
-    split = message.where(F.col("_message").startswith("MSH")).select(
+    cut = message.where(F.col("_message").startswith("MSH")).select(
         *keep,
         _separator(F.col("_message")).alias("_separator"),
-        F.posexplode(
-            F.filter(F.split("_message", r"[\r\n]+"), lambda s: F.length(s) > 0)
-        ).alias("segment_index", "_segment"),
+        F.filter(F.split("_message", r"[\r\n]+"), lambda s: F.length(s) > 0).alias("_segments"),
     )
+    if parents is None:
+        split = cut.select(
+            *keep, "_separator", F.posexplode("_segments").alias("segment_index", "_segment"))
+        places = []
+    else:
+        grouped = cut.withColumn("_parents", _parent_places(_segment_types(), parents))
+        placed = grouped.select(
+            *keep, "_separator",
+            F.posexplode(F.arrays_zip("_segments", "_parents")).alias("segment_index", "_placed"))
+        split = placed.select(
+            *keep, "_separator", "segment_index", F.col("_placed._segments").alias("_segment"),
+            F.col("_placed._parents").alias("parent_index"))
+        places = ["parent_index"]
     quoted = F.concat(F.lit("\\Q"), F.col("_separator"), F.lit("\\E"))
     pieces = F.when(F.col("_separator") == "|", F.split("_segment", r"\|")).otherwise(
         F.split("_segment", quoted)
     )
-    fields = split.select(*keep, "segment_index", "_separator", pieces.alias("_pieces"))
+    fields = split.select(*keep, "segment_index", *places, "_separator", pieces.alias("_pieces"))
     return fields.select(
         *keep,
         "segment_index",
+        *places,
         F.get("_pieces", 0).alias("segment_type"),
         F.when(
             F.get("_pieces", 0) == "MSH", F.array_insert("_pieces", 2, F.col("_separator"))
@@ -206,6 +235,31 @@ def hl7_segments(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) ->
     )
 
 
+def _segment_types() -> Column:
+    return F.transform("_segments", lambda s: F.regexp_extract(s, "^[A-Za-z0-9]+", 0))
+
+
+def _parent_places(types: Column, parents: Mapping[str, Sequence[str]]) -> Column:
+    """For each segment the place of its parent, by a fold that holds the last place of each type."""
+    held = sorted({name for names in parents.values() for name in names})
+    nowhere = F.lit(None).cast("int")
+
+    def step(state: Column, kind: Column) -> Column:
+        place = F.size(state["places"])
+        last = {name: F.get(state["last"], F.lit(n)) for n, name in enumerate(held)}
+        parent = nowhere
+        for child, names in parents.items():
+            nearest = F.greatest(nowhere, nowhere, *[last[name] for name in names])
+            parent = F.when(kind == child, nearest).otherwise(parent)
+        return F.struct(
+            F.array(*[F.when(kind == name, place).otherwise(last[name]) for name in held]).alias("last"),
+            F.concat(state["places"], F.array(parent)).alias("places"))
+
+    start = F.struct(F.array(*[nowhere for _ in held]).alias("last"),
+                     F.array().cast("array<int>").alias("places"))
+    return F.aggregate(types, start, step, lambda state: state["places"])
+
+
 def hl7_components(field: Column, encoding: Column | None = None) -> Column:
     """Parts of a composite field. ``encoding`` is MSH-2 where a message may choose its own signs."""
     if encoding is None:
