@@ -310,3 +310,9 @@ def lab_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("|P|2.5\rPID|1||PAT"), F.col("o_custkey").cast("string"), F.lit("\r"))
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", F.concat(head, F.array_join(groups, "\r")).alias("value"))
+
+
+def nation_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(nation, value): a Bundle with the Patient per customer."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").cast("int").alias("nation"), _bundle(_patient(F.col("c_custkey"))).alias("value"))

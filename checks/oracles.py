@@ -621,3 +621,11 @@ ORACLES["stream_hl7_ledgered"] = hl7("""
 SELECT CASE WHEN is_parse_error THEN 'errors' ELSE 'rows' END AS part, facility, count(*) AS messages
 FROM parsed GROUP BY ALL
 UNION ALL SELECT 'ledger', '', count(*) FROM parsed""")
+ORACLES["landing_changes"] = """
+WITH nations AS (
+  SELECT CAST(c_nationkey AS INTEGER) AS nation, count(*) AS bundles FROM customer GROUP BY 1)
+SELECT 1 AS landing, 'new' AS change, nation, bundles FROM nations WHERE nation < 20
+UNION ALL SELECT 2, 'vanished', nation, 0 FROM nations WHERE nation < 20 AND nation % 4 = 1
+UNION ALL SELECT 2, 'changed', nation, 2 * bundles FROM nations WHERE nation < 20 AND nation % 4 = 0
+UNION ALL SELECT 2, 'new', nation, bundles FROM nations WHERE nation >= 20
+UNION ALL SELECT 3, 'new', nation, bundles FROM nations WHERE nation < 20 AND nation % 4 = 1"""

@@ -13,7 +13,7 @@ from wardflow.operators import ccda, fhir, hl7
 from wardflow.operators.terminology import terminology_enrich
 from wardflow.plans import admissions, inventory, medications, omop
 from wardflow.plans.common import optional_facility_filter
-from wardflow.sources import buckets, files, jdbc
+from wardflow.sources import buckets, files, jdbc, landings
 from wardflow.sources import tables as sinks
 from wardflow.streaming import hl7_stream
 
@@ -227,6 +227,35 @@ def landing_file_inventory(spark, sf_dir):
     )
 
 
+@query
+def landing_changes(spark, sf_dir):
+    """Three landings of a file of Bundles per nation, and the Bundles that each load reads."""
+    folder, state = (tables.new_path(spark, sf_dir, name) for name in ("landing", "landing-state"))
+    early, gone, redone = "nation < 20", "nation < 20 AND nation % 4 = 1", "nation < 20 AND nation % 4 = 0"
+    rows = inputs.nation_bundles(spark, sf_dir)
+    steps = [
+        lambda: tables.land_by_nation(rows.where(early), folder),
+        lambda: (tables.land_by_nation(rows.where(gone), folder, remove=True),
+                 tables.land_by_nation(rows.where(redone).unionAll(rows.where(redone)), folder),
+                 tables.land_by_nation(rows.where("nation >= 20"), folder)),
+        lambda: tables.land_by_nation(rows.where(gone), folder),
+    ]
+    kept = tables.new_path(spark, sf_dir, "landed")
+    for number, step in enumerate(steps, 1):
+        step()
+        landing = landings.landing_changes(spark, folder, state)
+        changes = landing.changes.select(
+            F.lit(number).alias("landing"), "change", tables.nation_of(F.col("path")).alias("nation"))
+        for part in landings.landed_since(landing, spark.read.text):
+            read = part.select(tables.nation_of(F.col("_metadata.file_name")).alias("nation"))
+            counted = read.groupBy("nation").agg(F.count("*").alias("bundles"))
+            changes.join(counted, "nation").write.mode("append").parquet(kept)
+        vanished = changes.where("change = 'vanished'").withColumn("bundles", F.lit(0).cast("bigint"))
+        vanished.select("nation", "landing", "change", "bundles").write.mode("append").parquet(kept)
+        landings.commit_landing(landing)
+    return spark.read.parquet(kept)
+
+
 # --- HL7 jobs ---
 
 

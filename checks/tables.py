@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -232,3 +232,23 @@ def inventory(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str], DataFra
     listed["fhir", "condition_features"] = features(spark, sf_dir)
     listed["hl7", "parsed_hl7"] = parsed_hl7(spark, sf_dir)
     return listed
+
+
+def land_by_nation(rows: DataFrame, folder: str, remove: bool = False) -> None:
+    """One file per nation with its ``value`` rows, always of the same name; or take it away."""
+    spark = rows.sparkSession
+    staged = f"{folder}-{uuid.uuid4().hex}"
+    rows.repartition("nation").write.partitionBy("nation").text(staged)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop.Path(folder))
+    for status in system.globStatus(hadoop.Path(f"{staged}/nation=*/part-*")):
+        source = status.getPath()
+        target = hadoop.Path(folder, f"{source.getParent().getName().replace('=', '-')}.txt")
+        system.delete(target, False)
+        if not remove:
+            system.rename(source, target)
+
+
+def nation_of(path: Column) -> Column:
+    return F.regexp_extract(path, r"nation-([0-9]+)[.]txt$", 1).cast("int")
