@@ -54,6 +54,29 @@ def test_mixture_edges(spark):
     assert mixture.mix(edge.documents(spark, [])).count() == 0
 
 
+def test_columns_of_any_name_pass_through_the_mixture(spark):
+    names = ["copy", "Copy_1", "of", "rate", "times", "document", "drawn_by", "source_size", "target"]
+    df = spark.createDataFrame([(i, "w " * (1 + i % 3), "a", *range(9)) for i in range(40)],
+                               "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names))
+    mixed = mixture.mix(df)
+    assert mixed.columns == [*df.columns, "copy_2"]
+    assert {tuple(r[n] for n in names) for r in mixed.collect()} == {tuple(range(9))}
+    plan = {r.doc_id: r.taken // r.size for r in mixture.mixed_sizes(df).collect()}
+    assert mixed.count() == sum(plan.values())
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_documents_without_an_id_of_their_own_are_drawn_one_by_one(spark, doc_id):
+    df = spark.createDataFrame([(doc_id, f"w{i} x", f"s{i % 2}") for i in range(1500)],
+                               "doc_id long, text string, source string")
+    plan = mixture.mixed_sizes(df)
+    sums = plan.groupBy("target").agg(F.sum("taken").alias("taken"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in sums) == 1500
+    assert all(r.taken == pytest.approx(r.target, rel=0.1) for r in sums)
+    assert sorted(plan.collect()) == sorted(mixture.mixed_sizes(df.repartition(7)).collect())
+    assert mixture.mix(df).count() * 2 == sum(r.taken for r in sums)
+
+
 CASES = [
     ("https://www.Example.ORG/es/1", "www.example.org", "/es/1", "example.org/es/", "block"),
     ("http://example.org/en/12#t", "example.org", "/en/12", "example.org/en/1", "block"),

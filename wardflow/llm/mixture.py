@@ -2,16 +2,20 @@
 
 Tokens are aggregated per source, each source gets a repetition rate, and every document is
 emitted floor(rate) times plus once more when a hash of its id, seen as a number in [0, 1), is
-below the fraction of the rate. Only DataFrame functions; the hash makes reruns agree.
+below the fraction of the rate. Where ids are NULL or repeated, texts are hashed along with the
+ids, so that documents without an id of their own are drawn one by one. Only DataFrame functions;
+the hash makes reruns agree.
 
 Defined cases: a NULL text has size 0; NULL is a source of its own, the last one; a source of size
-0 has target 0 and is not emitted; rows that repeat an id share its draw, and so do all rows whose
-id is NULL; an empty table gives an empty result. Only the named columns are used, others pass
-through ``mix`` untouched, whatever their names.
+0 has target 0 and is not emitted; rows that repeat both id and text share a draw; an empty table
+gives an empty result. Only the named columns are used, others pass through ``mix`` untouched,
+whatever their names: where one is called ``copy``, the number of the copy is ``copy_1``, and so on.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -82,13 +86,22 @@ def copies(rate: Column, identifier: Column, seed: int = 0) -> Column:
     return (F.floor(rate) + extra).cast("int")
 
 
+def drawn_by(documents: DataFrame) -> Column:
+    """What a document's draw is made from: its id, and its text too if ids don't tell rows apart."""
+    identifier = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    rows, different = documents.agg(F.count("*"), F.countDistinct("doc_id")).first()
+    if rows == different:
+        return identifier
+    return F.concat(identifier, F.lit(":"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+
+
 def mixed_sizes(documents: DataFrame, seed: int = 0) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken``."""
-    sizes = staged(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")),
-                   "sizes")
+    sizes = staged(documents.select("doc_id", "source", word_count(F.col("text")).alias("size"),
+                                    drawn_by(documents).alias("drawn_by")), "sizes")
     plan = source_targets(sizes).withColumnRenamed("source", "of")
     joined = sizes.join(plan, F.col("source").eqNullSafe(F.col("of")))
-    taken = F.col("size") * copies(F.col("rate"), F.col("doc_id"), seed)
+    taken = F.col("size") * copies(F.col("rate"), F.col("drawn_by"), seed)
     return joined.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
@@ -96,10 +109,14 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
         most: float = 2.0, seed: int = 0) -> DataFrame:
     """The mixture itself: each document as often as it is taken, numbered by ``copy`` from 1."""
     sizes = documents.select("source", word_count(F.col("text")).alias("size"))
-    plan = source_targets(sizes, weights, share, most).select(
-        F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate"))
-    times = copies(F.col("_mix_rate"), F.col("doc_id"), seed)
-    return (documents.join(plan, F.col("source").eqNullSafe(F.col("_mix_source")))
-            .withColumn("_mix_times", times).filter("_mix_times > 0")
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times"))))
-            .drop("_mix_source", "_mix_rate", "_mix_times"))
+    plan = source_targets(sizes, weights, share, most).select(F.col("source").alias("of"), "rate")
+    # The columns of a document travel in one struct, so that they can't clash with those of here.
+    packed = documents.select(F.struct("*").alias("document"), F.col("source").alias("source"),
+                              drawn_by(documents).alias("drawn_by"))
+    times = copies(F.col("rate"), F.col("drawn_by"), seed)
+    given = {name.lower() for name in documents.columns}
+    number = "copy" if "copy" not in given else next(
+        f"copy_{n}" for n in count(1) if f"copy_{n}" not in given)
+    return (packed.join(plan, F.col("source").eqNullSafe(F.col("of")))
+            .select("document", times.alias("times")).filter("times > 0")
+            .select("document.*", F.explode(F.sequence(F.lit(1), F.col("times"))).alias(number)))
