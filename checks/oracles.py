@@ -629,3 +629,9 @@ UNION ALL SELECT 2, 'vanished', nation, 0 FROM nations WHERE nation < 20 AND nat
 UNION ALL SELECT 2, 'changed', nation, 2 * bundles FROM nations WHERE nation < 20 AND nation % 4 = 0
 UNION ALL SELECT 2, 'new', nation, bundles FROM nations WHERE nation >= 20
 UNION ALL SELECT 3, 'new', nation, bundles FROM nations WHERE nation < 20 AND nation % 4 = 1"""
+
+ORACLES["q_kpi_medications_loaded"] = ORACLES["q_kpi_medications"]
+ORACLES["q_kpi_hl7_loaded"] = ORACLES["q_kpi_hl7"]
+ORACLES["distinct_patients_by_facility"] = hl7("""
+SELECT facility, count(*) AS messages, count(DISTINCT patient_id) AS patients FROM parsed
+GROUP BY facility""")

@@ -642,6 +642,33 @@ _named("q_kpi_ccda_documents", tables.documents, medications.q_kpi_ccda_document
 _named("q_kpi_medications", tables.medications, medications.q_kpi_medications)
 _named("q_kpi_omop_patients", _persons, omop.q_kpi_omop_patients)
 _named("q_kpi_hl7", tables.parsed_hl7, admissions.q_kpi_hl7)
+
+
+@query
+def q_kpi_medications_loaded(spark, sf_dir):
+    """The tile over three loads, with distinct medications from the bitmaps of the loads."""
+    rows = tables.medications(spark, sf_dir)
+    load = F.coalesce(F.xxhash64(*rows.columns), F.lit(0))
+    store = tables.counted_loads(spark, sf_dir, rows, load, "medication_name")
+    return medications.q_kpi_medications_loaded(store)
+
+
+@query
+def q_kpi_hl7_loaded(spark, sf_dir):
+    rows = tables.parsed_hl7(spark, sf_dir)
+    store = tables.counted_loads(spark, sf_dir, rows, F.xxhash64("message_id"), "facility")
+    return admissions.q_kpi_hl7_loaded(store)
+
+
+@query
+def distinct_patients_by_facility(spark, sf_dir):
+    """Messages and distinct patients per facility, over three loads."""
+    rows = tables.parsed_hl7(spark, sf_dir)
+    store = tables.counted_loads(
+        spark, sf_dir, rows, F.xxhash64("message_id"), "patient_id", ["facility"])
+    return store.counts(rows_name="messages").withColumnRenamed("patient_id", "patients")
+
+
 _named("q_table_inventory", tables.inventory, inventory.q_table_inventory)
 _named("q_top_medications", tables.medications, medications.q_top_medications)
 _named("q_medication_frequency", tables.medications, medications.q_medication_frequency)

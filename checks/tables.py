@@ -18,6 +18,7 @@ from wardflow.operators import ccda, fhir
 from wardflow.operators.hl7 import hl7_parse_adt
 from wardflow.session import scratch_folder
 from wardflow.sources import files, jdbc, tables
+from wardflow.sources.distincts import DistinctStore
 
 MESSAGE_FIELDS = {"message_time": ("MSH", 7), "message_id": ("MSH", 10)}
 NEWEST = ["message_time", "message_id"]
@@ -252,3 +253,16 @@ def land_by_nation(rows: DataFrame, folder: str, remove: bool = False) -> None:
 
 def nation_of(path: Column) -> Column:
     return F.regexp_extract(path, r"nation-([0-9]+)[.]txt$", 1).cast("int")
+
+
+def counted_loads(
+    spark: SparkSession, sf_dir: str, rows: DataFrame, by_load: Column, column: str,
+    by: list[str] | None = None,
+) -> DistinctStore:
+    """A store that counts a column of all ``rows``, which come in three loads, the first one twice."""
+    groups = rows.select(*by) if by else None
+    store = DistinctStore(spark, new_path(spark, sf_dir, "distincts"), [column], groups)
+    for load in (0, 1, 2, 0):
+        store.add_load(f"load-{load}", rows.where(F.pmod(by_load, F.lit(3)) == load))
+    store.merge_loads()
+    return store

@@ -14,6 +14,7 @@ from wardflow.plans.common import (
     percent,
     top_groups,
 )
+from wardflow.sources.distincts import DistinctStore
 
 NEWEST_FIRST = ["parsed_at"]
 MESSAGE = ["patient_id", "facility", "message_type", "admit_diagnosis", "admit_location"]
@@ -29,6 +30,11 @@ def q_kpi_hl7(parsed: DataFrame) -> DataFrame:
     )
 
 
+def q_kpi_hl7_loaded(store: DistinctStore) -> DataFrame:
+    """``q_kpi_hl7`` over all loads of a store that counts ``facility``."""
+    return store.counts([], "hl7_messages_parsed").withColumnRenamed("facility", "facilities")
+
+
 def q_hl7_enriched(parsed: DataFrame) -> DataFrame:
     return parsed.select(
         "patient_id",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.plans.common import top_groups
+from wardflow.sources.distincts import DistinctStore
 
 RECORD = ["city", "first_name", "last_name", "medication_name"]
 
@@ -21,6 +22,12 @@ def q_kpi_medications(medications: DataFrame) -> DataFrame:
     )
 
 
+def q_kpi_medications_loaded(store: DistinctStore) -> DataFrame:
+    """``q_kpi_medications`` over all loads of a store that counts ``medication_name``."""
+    return store.counts([], "medications_extracted").withColumnRenamed(
+        "medication_name", "distinct_medications")
+
+
 def q_top_medications(medications: DataFrame, n: int = 15) -> DataFrame:
     """Most frequent medications. ``patient_count`` counts rows, which are distinct by patient
     name and city; two patients of one name in one city count once."""
