@@ -1,12 +1,16 @@
 """Language ID and quality: held-out accuracy, and rows at the edges."""
 
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import edge
-from wardflow.llm import language, quality
+from wardflow.llm import language, quality, words
 from wardflow.llm.queries import QUERIES
 
 MIDDLE = "/root/testdata/sf0.01"
@@ -96,6 +100,50 @@ def test_forward_backward_equals_enumeration():
         assert not pair[i, n - 1:].any()
 
 
+def _random_field():
+    rng = np.random.default_rng(8)
+    field = quality.Field(3 * (quality.OWN + 1))
+    field.weights, field.moves = rng.standard_normal(field.weights.shape), rng.standard_normal((2, 2))
+    return field
+
+
+def test_long_texts_score_by_pieces_as_whole(monkeypatch):
+    rng, field = np.random.default_rng(9), _random_field()
+    monkeypatch.setattr(words, "PIECE", 200)
+    monkeypatch.setattr(quality, "LINES_AT_ONCE", 7)
+    some = [b"The same line again.", b"", b"x", b"A " + b"long line with many words, some 12 times " * 20,
+            b"Unbroken" * 300, b"end " + b"y" * 900, b"a B  c\td!"]
+    for n in (1, 2, 3, 9, 40, 200):
+        text = b"\n".join(some[i] for i in rng.integers(0, len(some), n))
+        assert [x for run in quality.line_runs(text) for x in run] == text.split(b"\n")
+        whole = field.score(*quality.document_lines([text]))
+        assert field.long_score(text) == pytest.approx(float(whole[0]), abs=1e-9)
+    texts = [b"", None, text, b"a\n" * 30, b"last"]
+    assert [(i, len(few)) for i, few in quality.text_runs(texts)] == [(0, 2), (2, 1), (3, 1), (4, 1)]
+
+
+MEASURED = """
+import resource, sys
+from tests.llm.test_models import _random_field
+field = _random_field()
+field.long_score(b"a line\\n" * 200_000)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+if sys.argv[1] == "lines":
+    text = b"\\n".join(b"Some words of line %d, and more of them." % i for i in range(1_200_000))
+else:
+    text = {"line": b"words of a line ", "word": b"w" * 16}[sys.argv[1]] * 3_125_000
+assert 0 <= field.long_score(text) <= 1
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+"""
+
+
+@pytest.mark.parametrize("kind", ["lines", "line", "word"])
+def test_a_text_of_50_mb_takes_less_than_300_more(kind):
+    done = subprocess.run([sys.executable, "-c", MEASURED, kind], capture_output=True,
+                          text=True, check=True, cwd=os.path.dirname(corpus_pipeline.__file__))
+    assert int(done.stdout) < 300
+
+
 def test_quality_edges(spark):
     docs = edge.documents(spark)
     labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (3, 0), (6, None), (None, 1), (10, 7)],

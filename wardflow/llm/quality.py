@@ -10,25 +10,30 @@ Defined cases: NULL or empty text is one empty line, and empty lines weigh as on
 with a NULL label or id are not learned from; without any label, or with labels of one kind only,
 every score is 0.5 or near that kind; a document labelled twice counts for each label; rows that
 repeat a document are scored each; an empty table gives no rows; columns other than those named
-are not read, and labels, language, source and id never enter a score.
+are not read, and labels, language, source and id never enter a score. A very long text is scored by
+pieces of its lines, and a very long line by pieces of its words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import exp, log1p
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from wardflow.llm import words
-from wardflow.llm.staging import bounded_batches, staged
+from wardflow.llm.staging import bounded_batches, frugal, staged
 from wardflow.llm.substrings import _binary
 
 #: Bounds of the sample: labelled documents, and lines of each that are learned from.
 SAMPLE, LINES = 2000, 32
+#: Lines whose features are held at once.
+LINES_AT_ONCE = 1 << 15
 STEPS, RATE, SHRINK = 300, 0.2, 1e-4
 #: Kinds of bytes counted per line.
 _kind = np.full(256, 1, np.uint8)
@@ -67,42 +72,125 @@ def line_features(lines: list[bytes], repeated: np.ndarray) -> np.ndarray:
         np.isin(last, list(b".!?")), (data[begins] >= 65) & (data[begins] < 91), repeated])
 
 
-def document_lines(texts: list[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """In runs of texts: index of the first, lines per text, weights and features of all lines."""
-
-    def run(first: int, few: list[list[bytes]]):
-        lines = [line for text in few for line in text]
-        repeated = []
-        for text in few:
-            seen: set[bytes] = set()
-            for part in text:
-                repeated.append(float(part in seen and bool(part)))
-                seen.add(part)
-        own = line_features(lines, np.array(repeated))
-        counts = np.array([len(x) for x in few])
-        inner = np.ones((len(lines), 1))
-        before, after = np.zeros((len(lines), OWN + 1)), np.zeros((len(lines), OWN + 1))
-        whole = np.hstack([own, inner])
-        firsts = np.cumsum(counts) - counts
-        has_before, has_after = np.ones(len(lines), bool), np.ones(len(lines), bool)
-        has_before[firsts], has_after[firsts + counts - 1] = False, False
-        at = np.flatnonzero(has_before)
-        before[at] = whole[at - 1]
-        at = np.flatnonzero(has_after)
-        after[at] = whole[at + 1]
-        weights = np.maximum(1, np.array([len(x) for x in lines], float))
-        return first, counts, weights, np.hstack([whole, before, after])
-
-    few, size, first = [], 0, 0
+def _long_line(line: bytes, repeated: float) -> np.ndarray:
+    """``line_features`` of one line, its bytes and words counted piece by piece."""
+    counts, n, short, different = np.zeros(KINDS), 0, 0, np.zeros(0, np.uint64)
+    for piece in words._pieces(line):
+        for at in range(0, len(piece), words.PIECE):
+            data = np.frombuffer(piece[at:at + words.PIECE], np.uint8)
+            counts += np.bincount(_kind[data], minlength=KINDS)
+        starts, stops, hashes = words.piece_hashes(piece, True)
+        n, short = n + len(hashes), short + int((stops - starts <= 3).sum())
+        different = np.union1d(different, hashes)
+    size, letters, some = len(line), max(1, counts[1] + counts[3]), max(1, n)
+    return np.array([[
+        np.log1p(n) / 5, np.log1p(size) / 8, counts[3] / letters, counts[2] / size,
+        *(min(1, 5 * counts[k] / size) for k in range(4, KINDS)),
+        min(2, letters / some / 8), len(different) / some, short / some,
+        line[-1] in b".!?", 65 <= line[0] < 91, repeated]], float)
+
+
+def is_long(text: bytes) -> bool:
+    """Is the text scored by pieces? That bounds memory and changes the score by rounding only."""
+    return len(text) > words.PIECE or text.count(b"\n") >= LINES_AT_ONCE
+
+
+def text_runs(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
+    """Index of the first and the texts of each run; a long text is a run of its own."""
+    few, size, lines, first = [], 0, 0, 0
     for i, text in enumerate(texts):
         text = text or b""
-        if few and size + len(text) > words.PIECE:
-            yield run(first, few)
-            few, size, first = [], 0, i
-        few.append(text.split(b"\n"))
-        size += len(text) + 1
+        more = text.count(b"\n") + 1
+        if few and (size + len(text) > words.PIECE or lines + more > LINES_AT_ONCE):
+            yield first, few
+            few, size, lines, first = [], 0, 0, i
+        few.append(text)
+        size, lines = size + len(text) + 1, lines + more
     if few:
-        yield run(first, few)
+        yield first, few
+
+
+def line_runs(text: bytes) -> Iterator[list[bytes]]:
+    """All lines of a text in order, few at a time; one longer than ``words.PIECE`` alone."""
+    at = 0
+    while True:
+        cut = len(text)
+        if cut - at > words.PIECE:
+            cut = text.rfind(b"\n", at, at + words.PIECE)
+            if cut < 0:
+                cut = text.find(b"\n", at + words.PIECE)
+            if cut < 0:
+                cut = len(text)
+        lines = text[at:cut].split(b"\n")
+        for i in range(0, len(lines), LINES_AT_ONCE):
+            yield lines[i:i + LINES_AT_ONCE]
+        if cut == len(text):
+            return
+        at = cut + 1
+
+
+def _own(lines: list[bytes], repeated: np.ndarray) -> np.ndarray:
+    """Own features of the lines of a run, and a one."""
+    own = (_long_line(lines[0], repeated[0]) if len(lines) == 1 and len(lines[0]) > words.PIECE
+           else line_features(lines, repeated))
+    return np.hstack([own, np.ones((len(lines), 1))])
+
+
+def long_lines(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Weights and own features of the lines of a long text, in runs.
+
+    A line that came before is told by 64 bits of its digest, which takes 8 bytes per different line.
+    """
+    seen = np.zeros(0, np.uint64)
+    for lines in line_runs(text):
+        digests = np.array([xxhash.xxh3_64_intdigest(x) for x in lines], np.uint64)
+        different, at = np.unique(digests, return_index=True)
+        new = np.zeros(len(lines), bool)
+        place = np.searchsorted(seen, different)
+        fresh = np.append(seen, np.uint64(0))[place] != different
+        fresh |= place == len(seen)
+        new[at[fresh]] = True
+        seen = np.insert(seen, place[fresh], different[fresh])
+        filled = np.array([bool(x) for x in lines])
+        yield (np.maximum(1, np.array([len(x) for x in lines], float)),
+               _own(lines, (filled & ~new).astype(float)))
+
+
+def first_lines(text: bytes, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The runs of ``long_lines`` that hold the first ``n`` lines."""
+    for run in long_lines(text):
+        yield run
+        n -= len(run[0])
+        if n <= 0:
+            return
+
+
+def document_lines(few: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lines per text, weights and features of all lines of a run of texts."""
+    split = [text.split(b"\n") for text in few]
+    lines = [line for text in split for line in text]
+    repeated = []
+    for text in split:
+        seen: set[bytes] = set()
+        for part in text:
+            repeated.append(float(part in seen and bool(part)))
+            seen.add(part)
+    counts = np.array([len(x) for x in split])
+    weights = np.maximum(1, np.array([len(x) for x in lines], float))
+    return counts, weights, _beside(_own(lines, np.array(repeated)), counts)
+
+
+def _beside(whole: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Features of each line, of the one before and of the one after it in the same text."""
+    before, after = np.zeros_like(whole), np.zeros_like(whole)
+    firsts = np.cumsum(counts) - counts
+    has_before, has_after = np.ones(len(whole), bool), np.ones(len(whole), bool)
+    has_before[firsts], has_after[firsts + counts - 1] = False, False
+    at = np.flatnonzero(has_before)
+    before[at] = whole[at - 1]
+    at = np.flatnonzero(has_after)
+    after[at] = whole[at + 1]
+    return np.hstack([whole, before, after])
 
 
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -183,10 +271,59 @@ class Field:
         return np.clip(scores, 0.0, 1.0)
 
 
+    def long_score(self, text: bytes) -> float:
+        """``score`` of one long text: forward-backward over log odds, in some numbers per line.
+
+        A line's emission is the sum of what it, the line before and the line after contribute.
+        """
+        own, before, after = (self.weights[:, 1] - self.weights[:, 0]).reshape(3, OWN + 1)
+        odds, weights, last = [], [], 0.0
+        for weight, whole in long_lines(text):
+            emitted, to_next, to_last = whole @ own, whole @ before, whole @ after
+            emitted[1:] += to_next[:-1]
+            emitted[0] += last
+            emitted[:-1] += to_last[1:]
+            if odds:
+                odds[-1][-1] += to_last[0]
+            last = to_next[-1]
+            odds.append(emitted)
+            weights.append(weight.astype(np.int32))
+        emitted, weights = np.concatenate(odds), np.concatenate(weights).astype(float)
+        del odds
+        stay0, to1, to0, stay1 = self.moves.ravel().tolist()
+        forward = np.empty(len(emitted))
+        at = 0.0
+        for part in range(0, len(emitted), LINES_AT_ONCE):
+            found = emitted[part:part + LINES_AT_ONCE].tolist()
+            for t, e in enumerate(found):
+                at = e + (_logadd(to1, at + stay1) - _logadd(stay0, at + to0) if part or t else 0.0)
+                found[t] = at
+            forward[part:part + len(found)] = found
+        at = 0.0
+        for part in range((len(emitted) - 1) // LINES_AT_ONCE * LINES_AT_ONCE, -1, -LINES_AT_ONCE):
+            found = emitted[part:part + LINES_AT_ONCE].tolist()
+            for t in range(len(found) - 1, -1, -1):
+                e, found[t] = found[t], at
+                at = _logadd(to0, stay1 + e + at) - _logadd(stay0, to1 + e + at)
+            forward[part:part + len(found)] += found
+        good = 1 / (1 + np.exp(-np.clip(forward, -700, 700)))
+        return float(np.clip((good * weights).sum() / weights.sum(), 0.0, 1.0))
+
+
+def _logadd(x: float, y: float) -> float:
+    return max(x, y) + log1p(exp(-abs(x - y)))
+
+
 def _sampled_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows, labels = [], batch.column("quality").to_pylist()
-        for first, counts, _, features in document_lines(_binary(batch.column("text"))):
+        for first, few in text_runs(_binary(batch.column("text"))):
+            if is_long(few[0]):
+                # The line after the last one learned from counts among its neighbours.
+                some = np.vstack([whole for _, whole in first_lines(few[0], LINES + 1)])[:LINES + 1]
+                counts, features = np.array([len(some)]), _beside(some, np.array([len(some)]))
+            else:
+                counts, _, features = document_lines(few)
             at = 0
             for i, count in enumerate(counts.tolist()):
                 part = features[at:at + min(count, LINES)].astype(np.float32)
@@ -226,13 +363,15 @@ def scored(documents: DataFrame, field: Field) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [field.score(counts, weights, features) for _, counts, weights, features
-                     in document_lines(_binary(batch.column("text")))]
+            found = []
+            for _, few in text_runs(_binary(batch.column("text"))):
+                found.append(np.array([field.long_score(few[0])]) if is_long(few[0])
+                             else field.score(*document_lines(few)))
             found = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())],
                                              names=[*batch.schema.names, "score"])
 
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(frugal(run), schema)
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame, held_out, cut: float = 0.3) -> DataFrame:

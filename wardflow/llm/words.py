@@ -79,6 +79,23 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
+def piece_hashes(piece: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``word_hashes`` of what ``_pieces`` yields; a word of many MB is hashed by parts."""
+    if len(piece) <= 3 * PIECE:
+        return word_hashes(np.frombuffer(piece + b"\n", np.uint8), lower)
+    # A piece is that long only if its last word goes on from within its first PIECE bytes.
+    data = np.frombuffer(piece, np.uint8)
+    spaces = np.flatnonzero(_space[data[:PIECE]])
+    begin = int(spaces[-1]) + 1 if len(spaces) else 0
+    starts, ends, hashes = word_hashes(np.frombuffer(piece[:begin] + b"\n", np.uint8), lower)
+    up, total = BYTE_POWERS.upto(PIECE)[0], 0
+    for at in range(begin, len(piece), PIECE):
+        part = (_lowered if lower else _bytes)[data[at:at + PIECE]]
+        total += int((part * up[:len(part)]).sum(dtype=np.uint64)) * pow(BYTE_POWERS.base, at - begin, _WORD64)
+    last = np.array([(total + len(piece) - begin) % _WORD64], np.uint64)
+    return np.r_[starts, begin], np.r_[ends, len(piece)], np.r_[hashes, mixed(last)]
+
+
 def hashed(texts: Sequence[bytes | None], lower: bool = False
            ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """In runs of texts: index of the first, words per text, and all word hashes in order."""
