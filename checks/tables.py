@@ -85,7 +85,7 @@ def landed_bundles(spark: SparkSession, sf_dir: str) -> str:
 
     def land() -> str:
         path = new_path(spark, sf_dir, "bundles")
-        inputs.fhir_bundles(spark, sf_dir).write.text(path)
+        land_texts(inputs.fhir_bundles(spark, sf_dir), path)
         return path
 
     return _once(spark, sf_dir, "bundles", land)

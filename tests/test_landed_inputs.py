@@ -45,3 +45,11 @@ def test_texts_are_made_by_as_many_tasks_as_their_number_asks_for(spark, monkeyp
     assert sorted(r.value for r in apart.collect()) == expected
     rows = [r["count"] for r in apart.groupBy(F.spark_partition_id()).count().collect()]
     assert len(rows) > len(expected) / 200 and max(rows) < 200
+
+
+def test_landed_bundles_are_small_and_whole(spark):
+    texts = inputs.fhir_bundles(spark, SMALL)
+    count, size = texts.agg(F.count("*"), F.sum(F.octet_length("value"))).first()
+    landed = tables.landed_bundles(spark, SMALL)
+    assert on_disk(landed) < size / 5
+    assert files.fhir_bundle_scan(spark, f"{landed}/*", one_per_line=True).count() == count
