@@ -336,9 +336,15 @@ def hl7_build_adt(spark, sf_dir):
 # --- C-CDA jobs ---
 
 
+#: What ``_document_summary`` reads.
+SUMMARY_SCHEMA = ccda.document_schema(*[f"recordTarget.patientRole.{field}" for field in (
+    "id", "addr", "patient.name")], "component.structuredBody.component.section.title")
+
+
 @query
 def ccda_documents(spark, sf_dir):
-    parsed = ccda.ccda_documents(inputs.ccda_documents(spark, sf_dir), keep=["c_custkey"])
+    texts = inputs.ccda_documents(spark, sf_dir)
+    parsed = ccda.ccda_documents(texts, keep=["c_custkey"], schema=SUMMARY_SCHEMA)
     return parsed.select("c_custkey", *_document_summary())
 
 

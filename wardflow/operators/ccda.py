@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 # --- Fixed values: element names of the C-CDA standard. ---
 ROW_TAG = "ClinicalDocument"
@@ -64,6 +64,31 @@ MEDICATION_SCHEMA = _struct(
 )
 
 
+def document_schema(*fields: str) -> StructType:
+    """The part of ``DOCUMENT_SCHEMA`` that holds the named fields (levels joined by dots), and the
+    corrupt text.
+
+    Spark's XML parser fills every field of its schema, used or not, and most of its time goes into
+    the nested ones. The whole text is read with any part, and arrays keep their length.
+    """
+    return _part(DOCUMENT_SCHEMA, [field.split(".") for field in (*fields, CORRUPT)])
+
+
+def _part(kind: DataType, paths: list[list[str]]) -> DataType:
+    if [] in paths:
+        return kind
+    if isinstance(kind, ArrayType):
+        return ArrayType(_part(kind.elementType, paths))
+    wanted: dict[str, list[list[str]]] = {}
+    for first, *rest in paths:
+        wanted.setdefault(first, []).append(rest)
+    unknown = set(wanted) - set(kind.names if isinstance(kind, StructType) else ())
+    if unknown:
+        raise ValueError(f"not in the document schema: {', '.join(sorted(unknown))}")
+    return StructType([
+        StructField(f.name, _part(f.dataType, wanted[f.name])) for f in kind.fields if f.name in wanted])
+
+
 def _first(array: Column) -> Column:
     return F.get(array, F.lit(0))
 
