@@ -194,7 +194,9 @@ def fhir_bundle_scan(spark: SparkSession, path: str, one_per_line: bool = False)
     # A file's first row keeps its brace, unless blank text precedes it.
     begun = F.when(F.ltrim(text, F.lit(" \t\r\n\ufeff")).startswith(BUNDLE_START), text).otherwise(
         F.concat(F.lit(BUNDLE_START), text))
-    pieces = F.filter(F.split(begun, r"(?<=\})[ \t]*[\r\n]\s*(?=\{)"), lambda b: b.rlike(r"\S"))
+    split = F.filter(F.split(begun, r"(?<=\})[ \t]*[\r\n]\s*(?=\{)"), lambda b: b.rlike(r"\S"))
+    # Most rows are one Bundle on one line: nothing to look for.
+    pieces = F.when(text.contains("\n") | text.contains("\r"), split).otherwise(F.array(begun))
     cut = rows.where(text.rlike(r"\S")).withColumn("value", F.explode(pieces))
     ended = F.concat(text, F.lit("}"))
     lacking = F.json_object_keys(text).isNull() & F.json_object_keys(ended).isNotNull()
