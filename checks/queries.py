@@ -408,8 +408,10 @@ def fhir_resources(spark, sf_dir):
     """All resources kept whole; the account of an Encounter is a field that no schema names."""
     account = F.regexp_replace(
         "value", '("resourceType":"Encounter",)("id":"(e[0-9]+)")', '$1"identifier":[{"value":"V-$3"}],$2')
+    # Most Bundles have no Encounter: nothing to look for.
+    held = F.when(F.col("value").contains('"Encounter"'), account).otherwise(F.col("value"))
     target = tables.new_table(spark, sf_dir, "resources")
-    bundles = inputs.fhir_bundles(spark, sf_dir).select(account.alias("value"))
+    bundles = inputs.fhir_bundles(spark, sf_dir).select(held.alias("value"))
     sinks.table_overwrite_sink(fhir.fhir_resources(bundles), target)
     return spark.table(target).select(
         F.col("kind").alias("resource_type"), "id",

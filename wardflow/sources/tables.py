@@ -20,6 +20,9 @@ def create_database_of(spark: SparkSession, table: str) -> None:
 
 #: Table properties: the folder that a replacement made, and the one that the last one retired.
 MADE, RETIRED = "wardflow.made", "wardflow.retired"
+#: How table files are written: zstd takes about a third less than the default, and an inferred layout
+#: of VARIANT columns takes as long to write as all their parsing.
+FILE_OPTIONS = {"compression": "zstd", "spark.sql.variant.inferShreddingSchema": "false"}
 
 
 def table_overwrite_sink(df: DataFrame, table: str) -> None:
@@ -42,7 +45,7 @@ def table_overwrite_sink(df: DataFrame, table: str) -> None:
     new, aside = (".".join(f"`{part}`" for part in [*database, f"{name}_{step}_{token}"])
                   for step in ("next", "before"))
     try:
-        df.write.format("parquet").saveAsTable(new)
+        df.write.format("parquet").options(**FILE_OPTIONS).saveAsTable(new)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {new}")
         raise
@@ -84,7 +87,7 @@ def _pointed(df: DataFrame, table: str) -> None:
     folder, name = now.rsplit("/", 1)
     place = f"{folder}/{name.split('__')[0]}__{uuid.uuid4().hex}"
     try:
-        df.write.parquet(place)
+        df.write.options(**FILE_OPTIONS).parquet(place)
     except Exception:
         _delete(spark, place)
         raise
