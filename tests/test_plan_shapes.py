@@ -7,7 +7,7 @@ from checks import inputs, tables
 from checks.queries import QUERIES
 from tests.conftest import SMALL
 from wardflow.operators import ccda, fhir
-from wardflow.operators.hl7 import hl7_parse_adt
+from wardflow.operators.hl7 import SEGMENT_PARENTS, hl7_parse_adt, hl7_segments
 from wardflow.operators.terminology import terminology_enrich
 from wardflow.plans import admissions, medications, omop
 
@@ -28,6 +28,14 @@ def test_parse_is_narrow(spark):
     assert "Exchange" not in text
 
 
+@pytest.mark.parametrize("parents", [None, SEGMENT_PARENTS])
+def test_messages_are_made_once_and_behind_the_shuffle(spark, monkeypatch, parents):
+    monkeypatch.setattr(inputs, "ROWS_PER_TASK", 100)
+    segments = hl7_segments(inputs.adt_messages(spark, SMALL), keep=["o_orderkey"], parents=parents)
+    text = segments._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("garbage") == 1 and "garbage" not in text[text.index("RepartitionByExpression"):]
+
+
 def test_aggregates_are_partial_before_the_shuffle(spark):
     text = plan(admissions.q_top_admit_diagnoses(tables.parsed_hl7(spark, SMALL)))
     assert text.count("HashAggregate") == 2 and "partial_count" in text

@@ -200,17 +200,18 @@ def hl7_segments(
     there is none or no type is named. So repeated groups stay apart. The places are found by one
     fold over the segments, within the row.
     """
+    # No filter on the text or its segments: one would move below a shuffle and past the step that
+    # makes the text, which would be made again for each condition.
     message = df.select(*keep, _trimmed(F.col(col)).alias("_message"))
-    cut = message.where(F.col("_message").startswith("MSH")).select(
-        *keep,
-        _separator(F.col("_message")).alias("_separator"),
-        F.filter(F.split("_message", r"[\r\n]+"), lambda s: F.length(s) > 0).alias("_segments"),
-    )
+    separated = message.select(*keep, _separator(F.col("_message")).alias("_separator"), "_message")
+    segments = F.when(F.col("_message").startswith("MSH"), F.filter(
+        F.split("_message", r"[\r\n]+"), lambda s: F.length(s) > 0))
     if parents is None:
-        split = cut.select(
-            *keep, "_separator", F.posexplode("_segments").alias("segment_index", "_segment"))
+        split = separated.select(
+            *keep, "_separator", F.posexplode(segments).alias("segment_index", "_segment"))
         places = []
     else:
+        cut = separated.select(*keep, "_separator", segments.alias("_segments"))
         grouped = cut.withColumn("_parents", _parent_places(_segment_types(), parents))
         placed = grouped.select(
             *keep, "_separator",
