@@ -233,3 +233,15 @@ def test_a_load_of_whole_resources_parses_text_once(spark, tmp_path):
         assert _same_rows(loaded[table], fhir.TRANSFORMS[table](fhir.fhir_entries(bundles, kinds=[kind])))
         read = fhir.entries_of(stored, [kind])._jdf.queryExecution().executedPlan().toString()
         assert "from_json" not in read and "EqualTo(kind," in read or "In(kind" in read
+
+
+def test_bundles_without_the_kinds_asked_for_are_not_parsed(spark):
+    plain = '{"resourceType":"Bundle","entry":[{"resource":{"resourceType":"Condition","id":"c%d"}}]}'
+    texts = [plain % 1, plain.replace("Condition", "Patient") % 2, plain.replace("C", "\\u0043") % 3,
+             plain.replace("dition", "\\u0064ition") % 4, plain.replace('"c%d"', '"Condition"').replace(
+                 '"resourceType":"Condition"', '"resourceType":"Patient"'), "no Condition", None]
+    bundles = spark.createDataFrame([(text,) for text in texts], "value string")
+    found = fhir.fhir_entries(bundles, kinds=["Condition"])
+    assert sorted(r.id for r in found.collect()) == ["c1", "c3", "c4"]
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "WHEN (Contains(value#" in text[:text.index("from_json")]

@@ -72,7 +72,8 @@ def fhir_entries(
     References to an entry of the same Bundle by its ``fullUrl`` become ``Kind/id`` of that entry.
     This happens within the row: only entries whose id is not already the end of their address are
     kept as targets, and of those only the kinds that are referenced. Of several entries with one
-    address the first counts; a reference without such an entry stays as it is.
+    address the first counts; a reference without such an entry stays as it is. Of Bundles without
+    an entry of the kinds asked for the JSON is searched, but not parsed.
     """
     kinds = list(kinds or RESOURCE_FIELDS)
     schema = resource_schema(kinds)
@@ -82,7 +83,8 @@ def fhir_entries(
             entry["fullUrl"].alias("url"), entry["resource"].alias("resource"),
             targets.alias("targets"))))
 
-    parsed = F.from_json(F.col(col), bundle)["entry"]
+    # A text that can't hold any of the kinds is not parsed.
+    parsed = F.when(_may_hold(F.col(col), kinds), F.from_json(F.col(col), bundle)["entry"])
     each = bundles.select(F.explode(_let(parsed, beside_targets)).alias("entry")).where(
         F.col("entry.resource.resourceType").isin(kinds))
     return each.select(*[
@@ -91,6 +93,11 @@ def fhir_entries(
     ])
 
 
+def _may_hold(text: Column, kinds: Sequence[str]) -> Column:
+    """Whether a JSON text can hold one of the kinds: its letters as they are, or some as ``\\u0050``."""
+    return reduce(lambda a, b: a | b, [text.contains(sign) for sign in (*kinds, "\\u")])
+
+
 def _let(value: Column, use) -> Column:
     """``use`` of a value computed once per row; a column that a lambda reads would be inlined."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
