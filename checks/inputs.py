@@ -224,9 +224,10 @@ def fhir_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lineitem = table(spark, sf_dir, "lineitem")
     lines = spread(
-        lineitem.select(*LINE, "l_shipdate").join(
-            orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == order_key),
-        lineitem, *LINE)
+        lineitem.select(*LINE, "l_shipdate")
+        .join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == order_key)
+        .select(*LINE, "l_shipdate", "o_custkey"),
+        lineitem, *LINE).withColumn("o_orderkey", F.col("l_orderkey"))
     of_orders = spread(orders, orders, "o_orderkey").select(_bundle(
         _patient(customer_key), encounter, condition, addresses=(patient_url, encounter_url)
     ).alias("value"))

@@ -53,3 +53,25 @@ def test_landed_bundles_are_small_and_whole(spark):
     landed = tables.landed_bundles(spark, SMALL)
     assert on_disk(landed) < size / 5
     assert files.fhir_bundle_scan(spark, f"{landed}/*", one_per_line=True).count() == count
+
+
+def dealt_columns(df):
+    """Columns of the rows of lines where they are dealt out, by the optimized plan."""
+    found = []
+
+    def walk(node):
+        names = [node.output().apply(n).name() for n in range(node.output().size())]
+        if node.nodeName() == "RepartitionByExpression":
+            found.append(sorted(names))
+        for n in range(node.children().size()):
+            walk(node.children().apply(n))
+
+    walk(df._jdf.queryExecution().optimizedPlan())
+    return found
+
+
+@pytest.mark.parametrize("make, expected", [
+    (inputs.fhir_bundles, ["l_linenumber", "l_orderkey", "l_partkey", "l_shipdate", "l_suppkey", "o_custkey"])])
+def test_lines_are_dealt_out_with_what_their_texts_need(spark, monkeypatch, make, expected):
+    monkeypatch.setattr(inputs, "ROWS_PER_TASK", 100)
+    assert expected in dealt_columns(make(spark, SMALL))
