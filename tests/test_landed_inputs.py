@@ -71,6 +71,7 @@ def dealt_columns(df):
 
 
 @pytest.mark.parametrize("make, expected", [
+    (inputs.ccda_documents, ["c_custkey", "line", "medication", "n_name", "twice"]),
     (inputs.fhir_bundles, ["l_linenumber", "l_orderkey", "l_partkey", "l_shipdate", "l_suppkey", "o_custkey"])])
 def test_lines_are_dealt_out_with_what_their_texts_need(spark, monkeypatch, make, expected):
     monkeypatch.setattr(inputs, "ROWS_PER_TASK", 100)
